@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from .fusion import LOWER_IS_BETTER, MISSING, SIGNALS, borda
+from .repeated_lines import repeated_lines, without_repeated_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,3 +24,50 @@ def query(sql: str | None = None):
         return f
 
     return keep
+
+
+@query(
+    """
+    WITH lines AS (
+      SELECT id, source, pos AS line_no, regexp_replace(lower(arr[pos]), '[^\\p{L}]+', '', 'g') AS k
+      FROM (SELECT id, source, string_split(body, chr(10)) AS arr FROM items WHERE body IS NOT NULL AND id IS NOT NULL AND source IS NOT NULL), unnest(range(1, len(arr) + 1)) AS t(pos)),
+    n AS (SELECT source, count(DISTINCT id) AS n_items FROM items GROUP BY source),
+    hot AS (SELECT source, k FROM lines JOIN n USING (source) WHERE k <> '' GROUP BY source, k, n_items HAVING count(DISTINCT id) >= 3 AND count(DISTINCT id) >= 0.05 * n_items)
+    SELECT DISTINCT id, line_no FROM lines JOIN hot USING (source, k)
+    """
+)
+def p7_found(spark, sf_dir):
+    return repeated_lines(table(spark, sf_dir, "items"))[0].select("id", "line_no").distinct()
+
+
+@query()
+def p7_cleaned(spark, sf_dir):
+    items = table(spark, sf_dir, "items")
+    return without_repeated_lines(items, repeated_lines(items)[1]).select("id", "body_clean").distinct()
+
+
+def _borda_sql() -> str:
+    scores = ", ".join(SIGNALS)
+    clean = ", ".join(f"CASE WHEN isnan({s}){f' OR {s} = {MISSING[s]}' if s in MISSING else ''} THEN NULL ELSE {'-' if s in LOWER_IS_BETTER else ''}{s} END AS {s}" for s in SIGNALS)
+    one = ", ".join(f"s.{s} AS {s}" for s in SIGNALS)
+    # DuckDB sorts NULL above numbers inside structs; a NULL is written as the least number to be the least here
+    packed = ", ".join(f"{s} := coalesce({s}, '-infinity'::DOUBLE)" for s in SIGNALS)
+    back = ", ".join(f"nullif(s.{s}, '-infinity'::DOUBLE) AS {s}" for s in SIGNALS)
+    pts = ", ".join(
+        f"CASE WHEN {s} IS NULL OR count({s}) OVER (PARTITION BY week) = 1 THEN 0.5 ELSE (count({s}) OVER (PARTITION BY week) - (rank() OVER (PARTITION BY week ORDER BY {s} DESC NULLS LAST) + (count(*) OVER (PARTITION BY week, {s}) - 1) / 2.0)) / (count({s}) OVER (PARTITION BY week) - 1) END AS points_{s}"
+        for s in SIGNALS
+    )
+    total = " + ".join(f"points_{s}" for s in SIGNALS)
+    return f"""
+    WITH c AS (SELECT week, topic_id, {clean} FROM cluster_signals),
+    m AS (SELECT week, topic_id, max(struct_pack({packed})) AS s FROM c GROUP BY week, topic_id),
+    o AS (SELECT week, topic_id, {back} FROM m),
+    p AS (SELECT week, topic_id, {pts} FROM o),
+    t AS (SELECT week, topic_id, round({total}, 9) AS points FROM p)
+    SELECT week, topic_id, points, row_number() OVER (PARTITION BY week ORDER BY points DESC, topic_id) AS place FROM t
+    """
+
+
+@query(_borda_sql())
+def p3_ranking(spark, sf_dir):
+    return borda(table(spark, sf_dir, "cluster_signals"), "week", "topic_id").select("week", "topic_id", "points", "place")
