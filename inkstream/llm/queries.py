@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from .encoding import garbled_values, restored_values
 from .fusion import LOWER_IS_BETTER, MISSING, SIGNALS, borda
 from .repeated_lines import repeated_lines, without_repeated_lines
 
@@ -71,3 +72,13 @@ def _borda_sql() -> str:
 @query(_borda_sql())
 def p3_ranking(spark, sf_dir):
     return borda(table(spark, sf_dir, "cluster_signals"), "week", "topic_id").select("week", "topic_id", "points", "place")
+
+
+@query()
+def p1_found(spark, sf_dir):
+    return garbled_values(table(spark, sf_dir, "items"))
+
+
+@query()
+def p1_restored(spark, sf_dir):
+    return restored_values(table(spark, sf_dir, "items"))
