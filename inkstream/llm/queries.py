@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import table
 from .encoding import garbled_values, restored_values
 from .fusion import LOWER_IS_BETTER, MISSING, SIGNALS, borda
+from .quality import outliers
 from .repeated_lines import repeated_lines, without_repeated_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +83,13 @@ def p1_found(spark, sf_dir):
 @query()
 def p1_restored(spark, sf_dir):
     return restored_values(table(spark, sf_dir, "items"))
+
+
+@query()
+def p10_found(spark, sf_dir):
+    return outliers(table(spark, sf_dir, "documents")).filter("is_outlier").select("doc_id").distinct()
+
+
+@query()
+def p10_statistics(spark, sf_dir):
+    return outliers(table(spark, sf_dir, "documents"))
