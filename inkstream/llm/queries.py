@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import table
 from .encoding import garbled_values, restored_values
 from .fusion import LOWER_IS_BETTER, MISSING, SIGNALS, borda
+from .leaks import leaks, removal_spans
 from .quality import outliers
 from .repeated_lines import repeated_lines, without_repeated_lines
 
@@ -93,3 +94,13 @@ def p10_found(spark, sf_dir):
 @query()
 def p10_statistics(spark, sf_dir):
     return outliers(table(spark, sf_dir, "documents"))
+
+
+@query()
+def p8_found(spark, sf_dir):
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "eval_id")
+
+
+@query()
+def p8_spans(spark, sf_dir):
+    return removal_spans(leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")))
