@@ -11,6 +11,7 @@ from .encoding import garbled_values, restored_values
 from .fusion import LOWER_IS_BETTER, MISSING, SIGNALS, borda
 from .leaks import leaks, removal_spans
 from .quality import outliers
+from .residue import residue, without_residue
 from .repeated_lines import repeated_lines, without_repeated_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +105,13 @@ def p8_found(spark, sf_dir):
 @query()
 def p8_spans(spark, sf_dir):
     return removal_spans(leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")))
+
+
+@query()
+def p6_found(spark, sf_dir):
+    return residue(table(spark, sf_dir, "items")).select("id")
+
+
+@query()
+def p6_clean_items(spark, sf_dir):
+    return without_residue(table(spark, sf_dir, "items")).select("id", "source").distinct()
