@@ -11,8 +11,9 @@ from .encoding import garbled_values, restored_values
 from .fusion import LOWER_IS_BETTER, MISSING, SIGNALS, borda
 from .leaks import leaks, removal_spans
 from .quality import outliers
-from .residue import residue, without_residue
 from .repeated_lines import repeated_lines, without_repeated_lines
+from .residue import residue, without_residue
+from .truncation import truncated, truncation_by_source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -115,3 +116,13 @@ def p6_found(spark, sf_dir):
 @query()
 def p6_clean_items(spark, sf_dir):
     return without_residue(table(spark, sf_dir, "items")).select("id", "source").distinct()
+
+
+@query()
+def p4_found(spark, sf_dir):
+    return truncated(table(spark, sf_dir, "items")).filter("is_cut").select("id", "field").distinct()
+
+
+@query()
+def p4_by_source(spark, sf_dir):
+    return truncation_by_source(table(spark, sf_dir, "items"))
