@@ -10,6 +10,7 @@ from ..session import table
 from .encoding import garbled_values, restored_values
 from .fusion import LOWER_IS_BETTER, MISSING, SIGNALS, borda
 from .leaks import leaks, removal_spans
+from .mixing import mix
 from .quality import outliers
 from .repeated_lines import repeated_lines, without_repeated_lines
 from .residue import residue, without_residue
@@ -126,3 +127,13 @@ def p4_found(spark, sf_dir):
 @query()
 def p4_by_source(spark, sf_dir):
     return truncation_by_source(table(spark, sf_dir, "items"))
+
+
+@query()
+def p9_repeats(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+@query()
+def p9_shares(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
