@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from .boilerplate import boilerplate_lines, main_text
 from .encoding import garbled_values, restored_values
 from .fusion import LOWER_IS_BETTER, MISSING, SIGNALS, borda
 from .leaks import leaks, removal_spans
@@ -137,3 +138,13 @@ def p9_repeats(spark, sf_dir):
 @query()
 def p9_shares(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
+@query()
+def p5_found(spark, sf_dir):
+    return boilerplate_lines(table(spark, sf_dir, "items"), table(spark, sf_dir, "sources"))
+
+
+@query()
+def p5_main_text(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "items"), table(spark, sf_dir, "sources"))
