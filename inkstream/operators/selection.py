@@ -44,7 +44,7 @@ def mmr_order(candidates: DataFrame, lam: float = 0.65, k: int | None = None) ->
         return pdf.loc[order, ["cluster", "score"]].assign(place=np.arange(1, len(order) + 1))
 
     kind = candidates.schema["cluster"].dataType.simpleString()
-    return _checked(candidates.select("cluster", F.col("score").cast("double").alias("score"), "vec")).groupBy(F.lit(1)).applyInPandas(run, f"cluster {kind}, score double, place bigint")
+    return _checked(candidates.select("cluster", F.col("score").cast("double").alias("score"), "vec")).groupBy().applyInPandas(run, f"cluster {kind}, score double, place bigint")
 
 
 def knee(ordered: DataFrame, least: int = 8, most: int = 40) -> DataFrame:
@@ -83,7 +83,7 @@ def greedy_dedup(items: DataFrame) -> DataFrame:
         return pdf.loc[[i for i, ok in keep if ok], ["cluster", "id"]]
 
     kind = items.schema["cluster"].dataType.simpleString()
-    return _checked(items).groupBy(F.lit(1)).applyInPandas(run, f"cluster {kind}, id string")
+    return _checked(items).groupBy().applyInPandas(run, f"cluster {kind}, id string")
 
 
 def distinct_links(items: DataFrame, cap: int = 5) -> DataFrame:
