@@ -45,4 +45,4 @@ def rfc822_age_days(ts: Column, now: Column) -> Column:
     """Days since an RFC 822 time, at least 0; NULL where it does not parse."""
     bare = F.regexp_replace(F.trim(ts), r"^\w{3},\s*", "")
     t = F.coalesce(F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss Z")), F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss z")), F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss")))
-    return F.greatest(F.lit(0.0), (F.unix_micros(now) - F.unix_micros(t)) / 86_400_000_000)
+    return F.when(t.isNotNull(), F.greatest(F.lit(0.0), (F.unix_micros(now) - F.unix_micros(t)) / 86_400_000_000))
