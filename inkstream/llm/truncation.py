@@ -18,12 +18,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, fence
-from .repeated_lines import repeated_lines, without_repeated_lines
+from ..session import broadcast_if_small, cut, fence
+from .repeated_lines import heavy_lines, line_keys
 
-#: A final trigram is judged when it, or the words its last one begins, stand inside texts at least LEAST times; it is a cut when
+#: A final trigram is judged when it, or the words its last one begins, stand inside texts often enough to tell; it is a cut when
 #: other lines end so at most in a share of these. Lines of prose end in a stop, and are compared with lines of prose alone.
-LEAST, ENDS, ENDS_PROSE = 6, 0.0015, 0.01
+LEAST, LEAST_PROSE, ENDS, ENDS_PROSE = 150, 6, 0.0015, 0.01
 #: A line of prose is long, or goes on after the end of a sentence.
 PROSE_LINE = r"(?:[^\n]{160,}|[^\n]*(?:[.!?][\"”’»)]*[ \t ][^\n]*\p{L}|。[^\n]*\p{L})[^\n]*)"
 
@@ -39,11 +39,10 @@ _CJK = r"぀-ヿ㐀-鿿"
 def _words(text: str) -> str:
     """SQL for the masked words of a text; every line but the first begins with ¶ ¶, and a line of prose ends with §."""
     t = rf"regexp_replace({text}, '\\s*\\n\\s*', ' ¶ ¶ ')"
-    t = f"regexp_replace({t}, '([{_CJK}])', ' $1 ')"
+    t = rf"CASE WHEN {text} RLIKE '[{_CJK}]' THEN regexp_replace({t}, '([{_CJK}])', ' $1 ') ELSE {t} END"
     t = rf"regexp_replace({t}, '\\p{{N}}+(?:[.,]\\p{{N}}+)*', '9')"
-    t = rf"regexp_replace({t}, '\\p{{Lu}}[\\p{{L}}\\p{{M}}]*', 'N')"
-    t = rf"regexp_replace({t}, '\\bN(?:[\\s ]+N)+\\b', 'N')"
-    return rf"filter(split({t}, '[\\s ]+'), w -> w <> '')"
+    t = rf"regexp_replace({t}, '\\p{{Lu}}[\\p{{L}}\\p{{M}}]*(?:[\\s ]+\\p{{Lu}}[\\p{{L}}\\p{{M}}]*)*', 'N')"
+    return rf"split(regexp_replace({t}, '^[\\s ]+|[\\s ]+$', ''), '[\\s ]+')"
 
 
 def trigram_counts(values: DataFrame) -> DataFrame:
@@ -51,7 +50,7 @@ def trigram_counts(values: DataFrame) -> DataFrame:
     bare = F.regexp_replace("text", r"[ \t \r]*(?:…|\.{2,})[ \t \r]*(?=\n|$)", "")
     marked = fence(values.select(F.regexp_replace(bare, rf"(?m)^({PROSE_LINE})$", "$1 §").alias("text")))
     words = marked.select(F.expr(f"concat(array('¶', '¶'), {_words('text')}, array('¶'))").alias("w"))
-    grams = "transform(sequence(1, size(w) - 3), i -> named_struct('h2', xxhash64(element_at(w, i), element_at(w, i + 1)), 'w3', element_at(w, i + 2), 'e', element_at(w, i + 3)))"
+    grams = "transform(sequence(1, size(w) - 3), i -> named_struct('h2', xxhash64(w[i - 1], w[i]), 'w3', w[i + 1], 'e', w[i + 2]))"
     each = fence(words).filter("size(w) > 3").select(F.explode(F.expr(grams)).alias("g")).select("g.*").filter("w3 <> '¶' and w3 <> '§'")
     kind = lambda *marks: F.count(F.when(F.col("e").isin(*marks), 1))
     return each.groupBy("h2", "w3").agg((F.count("*") - kind("¶", "§")).alias("inside"), kind("¶", "§").alias("ends"), kind("§").alias("ends_prose"))
@@ -59,19 +58,25 @@ def trigram_counts(values: DataFrame) -> DataFrame:
 
 def endings(items: DataFrame) -> DataFrame:
     """(id, source, field, prose, rows, h2, w3): the final trigram of each value's content, marks and repeated lines taken off."""
-    clean = without_repeated_lines(items.select("id", "source", "title", "body"), repeated_lines(items)[1])
-    each = F.explode(F.array(F.struct(F.lit("title").alias("field"), F.col("title").alias("text")), F.struct(F.lit("body").alias("field"), F.coalesce("body_clean", "body").alias("text"))))
-    vals = clean.filter("id is not null").select("id", "source", each.alias("v")).select("id", "source", "v.*")
+    sets = cut(heavy_lines(items, 0.05, 3).groupBy(F.col("source").alias("__src")).agg(F.collect_set("key").alias("__keys")))
+    rows = items.filter("id is not null").select("id", "source", "title", "body").join(broadcast_if_small(sets, 20_000), F.col("source") == F.col("__src"), "left")
+    both = F.zip_with(F.split("body", "\n", -1), line_keys(F.col("body")), lambda x, k: F.struct(x.alias("x"), k.alias("k")))
+    kept = F.filter(both, lambda p: p["x"].rlike(r"\S") & (p["k"].isNull() | ~F.coalesce(F.array_contains(F.col("__keys"), p["k"]), F.lit(False))))
+    lines = F.slice(kept, F.greatest(F.size(kept) - 1, F.lit(1)), F.lit(2))
+    rows = fence(rows.select("id", "source", "title", F.when(F.size(kept) > 0, F.transform(lines, lambda p: p["x"])).alias("lines")))
+    each = F.explode(F.array(F.struct(F.lit("title").alias("field"), F.array("title").alias("lines")), F.struct(F.lit("body").alias("field"), F.col("lines"))))
+    vals = rows.select("id", "source", each.alias("v")).select("id", "source", "v.*")
     # the last line, without what was put after a cut; where that is all of it, the line before
-    bare = F.regexp_replace(F.regexp_replace("text", r"[\s ]+$", ""), MARKS, "")
-    last = F.regexp_extract(F.regexp_replace(bare, r"[\s ]+$", ""), r"([^\n]*)$", 1)
+    bare = lambda x: F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"[\s ]+$", ""), MARKS, ""), r"[\s ]+$", "")
+    own = bare(F.try_element_at("lines", F.lit(-1)))
+    last = F.when(own.rlike(r"[\p{L}\p{N}]"), own).otherwise(bare(F.try_element_at("lines", F.lit(-2))))
     vals = fence(vals.select("id", "source", "field", last.alias("last"))).filter(F.col("last").rlike(r"[\p{L}\p{N}]"))
     vals = fence(vals.select("id", "source", "field", (F.col("field").eqNullSafe("body") & F.col("last").rlike(f"^{PROSE_LINE}$")).alias("prose"), F.expr(f"concat(array('¶', '¶'), {_words('last')})").alias("w")))
-    final = vals.select("id", "source", "field", "prose", F.expr("xxhash64(element_at(w, -3), element_at(w, -2))").alias("h2"), F.expr("element_at(w, -1)").alias("w3"))
+    final = vals.select("id", "source", "field", "prose", F.expr("xxhash64(w[size(w) - 3], w[size(w) - 2])").alias("h2"), F.expr("w[size(w) - 1]").alias("w3"))
     return final.groupBy("id", "field", "prose", "h2", "w3").agg(F.count("*").alias("rows"), F.min("source").alias("source"))
 
 
-def truncated(items: DataFrame, least: int = LEAST, ends: float = ENDS, ends_prose: float = ENDS_PROSE) -> DataFrame:
+def truncated(items: DataFrame, least: int = LEAST, least_prose: int = LEAST_PROSE, ends: float = ENDS, ends_prose: float = ENDS_PROSE) -> DataFrame:
     """(id, source, field, inside, begun, ended, is_cut) of every value with content."""
     each = F.explode(F.array(F.col("title"), F.col("body")))
     counts = cut(trigram_counts(items.filter("id is not null").select(each.alias("text")).filter("text is not null")))
@@ -87,7 +92,7 @@ def truncated(items: DataFrame, least: int = LEAST, ends: float = ENDS, ends_pro
     ended = F.when(F.col("prose"), F.col("ends_prose")).otherwise(F.col("ends"))
     most = F.when(F.col("prose"), ends_prose).otherwise(ends) * seen
     return final.join(judged, ["h2", "w3"]).select(
-        "id", "source", "field", "prose", "inside", "begun", ended.alias("ended"), ((seen >= least) & (ended - F.col("rows") <= most)).alias("is_cut")
+        "id", "source", "field", "prose", "inside", "begun", ended.alias("ended"), ((seen >= F.when(F.col("prose"), least_prose).otherwise(least)) & (ended - F.col("rows") <= most)).alias("is_cut")
     )
 
 
