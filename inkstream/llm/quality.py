@@ -49,13 +49,13 @@ def statistics(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang:
     # hard-wrapped and quoted lines are put together again: a line that goes on in lower case continues the one before
     flat = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\r?\n[>\s]*(?=\p{Ll})", " ")
     df = docs.select(F.col(ident), F.col(lang).alias("__label"), flat.alias("__t"))
-    df = df.withColumn("__words", F.regexp_extract_all(F.lower("__t"), F.lit(rf"[{_CJK}]|[\p{{L}}\p{{M}}&&[^{_CJK}]]+"), 0))
+    dense = F.regexp_extract_all(F.lower("__t"), F.lit(rf"[{_CJK}]|[\p{{L}}\p{{M}}&&[^{_CJK}]]+"), 0)
+    df = df.withColumn("__words", F.when(F.col("__t").rlike(f"[{_CJK}]"), dense).otherwise(F.regexp_extract_all(F.lower("__t"), F.lit(r"[\p{L}\p{M}]+"), 0)))
     df = df.withColumn("__lines", F.filter(F.transform(F.split("__t", "\n", -1), lambda x: F.trim(x)), lambda x: F.length(x) > 0))
     df = fence(df)
     t, words, lines = F.col("__t"), F.col("__words"), F.col("__lines")
     size = lambda x: F.length(x).cast("double")
     only = lambda cls: size(F.regexp_replace(t, cls, ""))
-    n_letters = F.aggregate(words, F.lit(0), lambda a, w: a + F.length(w)).cast("double")
     total = F.aggregate(lines, F.lit(0), lambda a, x: a + F.length(x)).cast("double")
 
     def is_prose(x: Column) -> Column:
@@ -66,12 +66,16 @@ def statistics(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang:
         runs_on = x.rlike(r"\p{Ll}{2,}[.!?][\"”’»)]?\s+[\"“«„—–-]?\s?\p{Lu}\p{Ll}|[。！？]\S") | ((F.length(x) >= LONG_LINE) & x.rlike(_FUNCTION_WORDS))
         return (ends | runs_on) & wordy & (marks < F.length(x) * 0.25)
 
-    prose = F.aggregate(F.filter(lines, is_prose), F.lit(0), lambda a, x: a + F.length(x)).cast("double")
-    marked = F.aggregate(F.filter(lines, lambda x: ~is_prose(x) & x.rlike(r"^(?:[-–—•*►▪·+>]|\[.?\]|\(?\w{1,3}[.):])\s|[|;\t].*[|;\t]|^\S+(?:,[^,\s][^,]*){2,}$")), F.lit(0), lambda a, x: a + F.length(x)).cast("double")
+    # 2: prose, 1: list entry or table row; each line is judged once
+    marks = r"^(?:[-–—•*►▪·+>]|\[.?\]|\(?\w{1,3}[.):])\s|[|;\t].*[|;\t]|^\S+(?:,[^,\s][^,]*){2,}$"
+    judged = F.transform(lines, lambda x: F.struct(F.length(x).alias("n"), F.when(is_prose(x), 2).when(x.rlike(marks), 1).otherwise(0).alias("k")))
+    in_kind = lambda k: F.aggregate("__judged", F.lit(0), lambda a, x: a + F.when(x["k"] == k, x["n"]).otherwise(0)).cast("double")
     distinct = F.array_distinct(words)
-    hits = {k: F.size(F.array_intersect(distinct, F.array(*[F.lit(w) for w in dict.fromkeys(v.split())]))) for k, v in COMMON_WORDS.items()}
+    every = list(dict.fromkeys(w for v in COMMON_WORDS.values() for w in v.split()))
+    df = fence(df.select(ident, "__label", "__t", F.size(words).alias("__n"), F.length(F.array_join(words, "")).alias("__letters"), F.size(distinct).alias("__nd"), F.size(lines).alias("__nl"), judged.alias("__judged"), F.array_intersect(distinct, F.array(*map(F.lit, every))).alias("__common"), total.alias("__total")))
+    hits = {k: F.size(F.array_intersect(F.array(*map(F.lit, dict.fromkeys(v.split()))), F.col("__common"))) for k, v in COMMON_WORDS.items()}
     df = df.select(
-        ident, "__label", F.size(words).cast("double").alias("__n"), F.size(distinct).cast("double").alias("__nd"), F.size(lines).cast("double").alias("__nl"), n_letters.alias("__letters"), total.alias("__total"), prose.alias("__prose"), marked.alias("__marked"),
+        ident, "__label", *[F.col(c).cast("double").alias(c) for c in ("__n", "__nd", "__nl", "__total")], F.col("__letters").cast("double").alias("__letters"), in_kind(2).alias("__prose"), in_kind(1).alias("__marked"),
         only(r"[\p{L}\p{M}\p{N}\s]+").alias("__symbols"), only(r"[^\p{N}]+").alias("__digits"), only(r"[^\p{Lu}]+").alias("__upper"), only(r"[^.!?。！？…]+").alias("__stops"),
         F.array_max(F.array(*[F.struct(h.alias("n"), F.lit(k).alias("k")) for k, h in hits.items()])).alias("__lang"),
     )
