@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from ..session import broadcast_if_small, cut, fence
 from .repeated_lines import heavy_lines, line_keys
 
-#: A final trigram is judged when it, or the words its last one begins, stand inside texts often enough to tell; it is a cut when
+#: A final trigram is judged when it, or the words its last one begins, stand inside texts often enough to tell (a title, another short line, a line of prose); it is a cut when
 #: other lines end so at most in a share of these. Lines of prose end in a stop, and are compared with lines of prose alone.
-LEAST, LEAST_PROSE, ENDS, ENDS_PROSE = 150, 6, 0.0015, 0.01
+LEAST, LEAST_LINE, LEAST_PROSE, ENDS, ENDS_PROSE = 150, 40, 6, 0.0015, 0.01
 #: A line of prose is long, or goes on after the end of a sentence.
 PROSE_LINE = r"(?:[^\n]{160,}|[^\n]*(?:[.!?][\"”’»)]*[ \t ][^\n]*\p{L}|。[^\n]*\p{L})[^\n]*)"
 
@@ -31,7 +31,7 @@ PROSE_LINE = r"(?:[^\n]{160,}|[^\n]*(?:[.!?][\"”’»)]*[ \t ][^\n]*\p{L}|。[
 MARKS = (
     r"(?iu)(?:\s*(?:…|\.{2,}|[\[(]\s*(?:…|\.{2,}|more|mehr|suite|más|mais|\+)\s*[\])]"
     r"|(?:read|continue|see|view|show) (?:more|on|reading|the full (?:story|article))|read the rest|full story|weiter(?:lesen)?|mehr lesen|lire (?:la suite|plus)|leer más|seguir leyendo|leia mais|continuar? lendo|ler mais|читать (?:далее|дальше|полностью)|続きを読む|もっと見る|click here"
-    r"|[→»›>&]+|&(?:#\d{0,5}|[a-z]{0,6});?))+\s*$"
+    r"|[→»›]+|(?<=\s)>+|&(?:#\d{0,5}|[a-z]{0,6});?))+\s*$"
 )
 _CJK = r"぀-ヿ㐀-鿿"
 
@@ -50,8 +50,10 @@ def trigram_counts(values: DataFrame) -> DataFrame:
     bare = F.regexp_replace("text", r"[ \t \r]*(?:…|\.{2,})[ \t \r]*(?=\n|$)", "")
     marked = fence(values.select(F.regexp_replace(bare, rf"(?m)^({PROSE_LINE})$", "$1 §").alias("text")))
     words = marked.select(F.expr(f"concat(array('¶', '¶'), {_words('text')}, array('¶'))").alias("w"))
-    grams = "transform(sequence(1, size(w) - 3), i -> named_struct('h2', xxhash64(w[i - 1], w[i]), 'w3', w[i + 1], 'e', w[i + 2]))"
-    each = fence(words).filter("size(w) > 3").select(F.explode(F.expr(grams)).alias("g")).select("g.*").filter("w3 <> '¶' and w3 <> '§'")
+    # four shifted copies side by side: compiled code makes the rows, no function is interpreted per word
+    shifted = [F.slice("w", F.lit(i), F.size("w") - 3).alias(n) for i, n in enumerate(("a", "b", "w3", "e"), 1)]
+    rows = fence(words).filter("size(w) > 3").select(F.inline(F.arrays_zip(*shifted)))
+    each = rows.toDF("a", "b", "w3", "e").filter("w3 <> '¶' and w3 <> '§'").select(F.xxhash64("a", "b").alias("h2"), "w3", "e")
     kind = lambda *marks: F.count(F.when(F.col("e").isin(*marks), 1))
     return each.groupBy("h2", "w3").agg((F.count("*") - kind("¶", "§")).alias("inside"), kind("¶", "§").alias("ends"), kind("§").alias("ends_prose"))
 
@@ -62,13 +64,15 @@ def endings(items: DataFrame) -> DataFrame:
     rows = items.filter("id is not null").select("id", "source", "title", "body").join(broadcast_if_small(sets, 20_000), F.col("source") == F.col("__src"), "left")
     both = F.zip_with(F.split("body", "\n", -1), line_keys(F.col("body")), lambda x, k: F.struct(x.alias("x"), k.alias("k")))
     kept = F.filter(both, lambda p: p["x"].rlike(r"\S") & (p["k"].isNull() | ~F.coalesce(F.array_contains(F.col("__keys"), p["k"]), F.lit(False))))
-    lines = F.slice(kept, F.greatest(F.size(kept) - 1, F.lit(1)), F.lit(2))
-    rows = fence(rows.select("id", "source", "title", F.when(F.size(kept) > 0, F.transform(lines, lambda p: p["x"])).alias("lines")))
+    rows = fence(rows.select("id", "source", "title", kept.alias("kept")))
+    lines = F.slice("kept", F.greatest(F.size("kept") - 1, F.lit(1)), F.lit(2))
+    rows = fence(rows.select("id", "source", "title", F.when(F.size("kept") > 0, F.transform(lines, lambda p: p["x"])).alias("lines")))
     each = F.explode(F.array(F.struct(F.lit("title").alias("field"), F.array("title").alias("lines")), F.struct(F.lit("body").alias("field"), F.col("lines"))))
     vals = rows.select("id", "source", each.alias("v")).select("id", "source", "v.*")
     # the last line, without what was put after a cut; where that is all of it, the line before
     bare = lambda x: F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"[\s ]+$", ""), MARKS, ""), r"[\s ]+$", "")
-    own = bare(F.try_element_at("lines", F.lit(-1)))
+    vals = fence(vals.select("id", "source", "field", "lines", bare(F.try_element_at("lines", F.lit(-1))).alias("own")))
+    own = F.col("own")
     last = F.when(own.rlike(r"[\p{L}\p{N}]"), own).otherwise(bare(F.try_element_at("lines", F.lit(-2))))
     vals = fence(vals.select("id", "source", "field", last.alias("last"))).filter(F.col("last").rlike(r"[\p{L}\p{N}]"))
     vals = fence(vals.select("id", "source", "field", (F.col("field").eqNullSafe("body") & F.col("last").rlike(f"^{PROSE_LINE}$")).alias("prose"), F.expr(f"concat(array('¶', '¶'), {_words('last')})").alias("w")))
@@ -76,7 +80,7 @@ def endings(items: DataFrame) -> DataFrame:
     return final.groupBy("id", "field", "prose", "h2", "w3").agg(F.count("*").alias("rows"), F.min("source").alias("source"))
 
 
-def truncated(items: DataFrame, least: int = LEAST, least_prose: int = LEAST_PROSE, ends: float = ENDS, ends_prose: float = ENDS_PROSE) -> DataFrame:
+def truncated(items: DataFrame, least: int = LEAST, least_line: int = LEAST_LINE, least_prose: int = LEAST_PROSE, ends: float = ENDS, ends_prose: float = ENDS_PROSE) -> DataFrame:
     """(id, source, field, inside, begun, ended, is_cut) of every value with content."""
     each = F.explode(F.array(F.col("title"), F.col("body")))
     counts = cut(trigram_counts(items.filter("id is not null").select(each.alias("text")).filter("text is not null")))
@@ -92,7 +96,7 @@ def truncated(items: DataFrame, least: int = LEAST, least_prose: int = LEAST_PRO
     ended = F.when(F.col("prose"), F.col("ends_prose")).otherwise(F.col("ends"))
     most = F.when(F.col("prose"), ends_prose).otherwise(ends) * seen
     return final.join(judged, ["h2", "w3"]).select(
-        "id", "source", "field", "prose", "inside", "begun", ended.alias("ended"), ((seen >= F.when(F.col("prose"), least_prose).otherwise(least)) & (ended - F.col("rows") <= most)).alias("is_cut")
+        "id", "source", "field", "prose", "inside", "begun", ended.alias("ended"), ((seen >= F.when(F.col("prose"), least_prose).when(F.col("field") == "body", least_line).otherwise(least)) & (ended - F.col("rows") <= most)).alias("is_cut")
     )
 
 
