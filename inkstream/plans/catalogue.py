@@ -13,6 +13,7 @@ from ..functions import weeks as W
 from ..operators import bank as BK
 from ..operators import cluster as C
 from ..operators import context as CX
+from ..operators import digest as D
 from ..operators import entities as E
 from ..operators import longitudinal as L
 from ..operators import retrieve as R
@@ -23,7 +24,7 @@ from ..operators import store as ST
 from ..operators import vectorize as V
 from ..operators import weights as WT
 from ..operators.instants import item_instants, noncanonical_instants
-from ..session import table
+from ..session import cut, table
 from ..sources import ingest as IG
 from . import report as RP
 
@@ -788,3 +789,31 @@ def page_links(spark, sf_dir):
     a = F.concat(F.lit('<a href="'), F.col("url"), F.lit('?ref=index">'), F.replace("title", F.lit("<"), F.lit("")), F.lit("</a>"))
     pages = i.groupBy("source", "base", shelf.alias("shelf")).agg(F.concat(F.lit("<html><nav><a href='/about'>About this newsroom and its people</a></nav>"), F.array_join(F.sort_array(F.collect_list(a)), "\n"), F.lit("</html>")).alias("html"))
     return IG.page_links(pages)
+
+
+@query("SELECT week, 'https://pages.example/' || week || '.html' AS url FROM (SELECT DISTINCT week FROM cluster_signals ORDER BY week DESC LIMIT 8)")
+def archive_links(spark, sf_dir):
+    return D.archive_links(table(spark, sf_dir, "cluster_signals"), "https://pages.example/")
+
+
+@query(f"SELECT week, topic_id, coalesce(score, 0) AS score, coalesce(trend, 0) AS trend, coalesce(persistence_rate, -1) AS persistence_rate FROM {SIG1} WHERE topic_id IS NOT NULL AND week = (SELECT max(week) FROM cluster_signals)")
+def persist_signals(spark, sf_dir):
+    """The last week's clusters written to an empty table."""
+    s = WT.one_per_topic(table(spark, sf_dir, "cluster_signals"))
+    last = s.agg(F.max("week").alias("week"))
+    new = s.join(F.broadcast(last), "week", "left_semi").drop("week")
+    week = last.collect()[0]["week"] or ""
+    return D.persist_signals(spark.createDataFrame([], ST.SCHEMAS["cluster_signals"]), new, week).select("week", "topic_id", "score", "trend", "persistence_rate")
+
+
+@query()
+def score_clusters(spark, sf_dir):
+    """All signals of the sources as clusters, against the stored topics and history."""
+    i = cut(_one_item(_items(spark, sf_dir)).withColumn("text", F.concat_ws(" ", "title", "body")))
+    clusters = i.select("id", F.col("source").alias("cluster"))
+    v = cut(V.tfidf(i.select("id", F.coalesce("title", F.lit("")).alias("text")), ["id"]))
+    topics = cut(C.medoids(v, i.select("id", F.pmod(F.xxhash64("id"), F.lit(50)).alias("cluster"))).join(v, "id").select((F.col("cluster") + 1).alias("topic_id"), "term", "weight"))
+    ages = i.select("id", W.rfc822_age_days(F.col("ts"), F.lit(NOW).cast("timestamp")).alias("age_days"))
+    asp = _queries8(spark, sf_dir)
+    out = D.score_clusters(i.select("id", "source", "text"), clusters, v, E.item_entities(i), cut(_hist(spark, sf_dir)), table(spark, sf_dir, "sources"), asp, asp, table(spark, sf_dir, "topic_bank"), topics, cut(_ledger(spark, sf_dir)), ages, WEEK, _hist(spark, sf_dir).select("entity").limit(0))
+    return out.select("cluster", "medoid", "topic_id", *[F.round(c, 6).alias(c) for c in (*S.DEFAULT_WEIGHTS, "score")])

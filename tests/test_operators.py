@@ -183,3 +183,17 @@ def test_instants_of_items(spark):
     src = spark.createDataFrame([("s", "Asia/Tokyo", "UTC", "ja-JP"), ("s", "Asia/Tokyo", "UTC", "ja-JP")], "source string, home_zone string, ingest_zone string, locale string")
     assert rows(noncanonical_instants(items, src)) == [("1", "ts", "2025-01-01T01:00:00.000Z"), ("2", "ts", "invalid"), ("3", "ingested_at", "invalid")]
     assert noncanonical_instants(items.limit(0), src).count() == 0
+
+
+def test_two_lanes_and_digest(spark):
+    from inkstream.operators import digest as D
+
+    d = spark.createDataFrame([("a", "red apple pie", "red apple pie"), ("b", "red apple pie", "green pear"), ("c", "blue sky", "green pear"), ("d", None, None)], "id string, title string, text string")
+    assert rows(D.two_lane_edges(d)) == [("a", "b"), ("b", "c")]
+    v = V.tfidf(cut(d.select("id", F.coalesce("text", F.lit("")).alias("text"))), ["id"])
+    head, terms = D.save_digest(spark.createDataFrame([(1, "b"), (1, "c")], "cluster_no int, id string"), v, "2026-W01", "s", "2026-01-01 00:00:00")
+    assert head.count() == 1 and {r["term"] for r in terms.collect()} == {"green", "pear", "green pear"}
+    stored = spark.createDataFrame([], ST.SCHEMAS["cluster_signals"])
+    scored = spark.createDataFrame([(1, 0.5, 1), (1, 0.4, 2), (None, 0.9, 3)], "topic_id bigint, score double, place int")
+    got = D.persist_signals(stored, scored, "2026-W01").collect()
+    assert [(r["topic_id"], r["score"], r["persistence_rate"], r["trend"]) for r in got] == [(1, 0.4, -1.0, 0.0)]
