@@ -765,14 +765,13 @@ def cluster_numbering(spark, sf_dir):
 @query()
 def streaming_ingest(spark, sf_dir):
     """The items table as a stream of files, ingested once: (id, source, url) of the first row of each id."""
-    import tempfile
+    import os
+    from uuid import uuid4
 
     from ..session import checkpoint_dir
     from ..streaming import ingest as IN
 
-    root = tempfile.mkdtemp(prefix="ingest-", dir=checkpoint_dir(spark).removeprefix("file:")) if checkpoint_dir(spark).startswith(("file:", "/")) else f"{checkpoint_dir(spark)}/ingest"
-    import os
-
+    root = f"{checkpoint_dir(spark)}/ingest-{uuid4().hex}"
     src = f"{sf_dir}/items.parquet" if os.path.isdir(f"{sf_dir}/items.parquet") else f"{sf_dir}/items.parque[t]"
     IN.ingest(IN.item_stream(spark, src), f"{root}/items", f"{root}/state").awaitTermination()
     return spark.read.schema(ST.SCHEMAS["items"]).parquet(f"{root}/items").select("id", "source", "url")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +14,13 @@ def item_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(SCHEMAS["items"]).parquet(path)
 
 
+def stored_items(spark: SparkSession, store: str) -> DataFrame:
+    """The items stored so far, on whatever file system; none where nothing was written yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.schema(SCHEMAS["items"]).parquet(store) if there else spark.createDataFrame([], SCHEMAS["items"])
+
+
 def ingest(stream: DataFrame, store: str, checkpoint: str):
     """Append the items of a stream whose id is not stored yet, batch by batch; returns the running query.
 
@@ -24,8 +29,7 @@ def ingest(stream: DataFrame, store: str, checkpoint: str):
 
     def batch(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
-        stored = spark.read.schema(SCHEMAS["items"]).parquet(store) if os.path.exists(store) else spark.createDataFrame([], SCHEMAS["items"])
-        insert_or_ignore(stored, df, "id", ["ingested_at", "url"]).write.mode("append").parquet(store)
+        insert_or_ignore(stored_items(spark, store), df, "id", ["ingested_at", "url"]).write.mode("append").parquet(store)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
