@@ -134,7 +134,7 @@ def residue(items: DataFrame) -> DataFrame:
     rows = items.filter("id is not null and body is not null").select("id", "source", "body").filter(F.col("body").rlike(r"\S"))
     slots = rows.filter(F.col("body").rlike("|".join(SLOTS))).select("id", F.lit("slot").alias("kind"))
     norm = masked(F.col("body"))
-    known = F.trim(F.regexp_replace(F.lower("body"), r"\s+", " ")).rlike("|".join(NOTICES)) & (F.length("body") <= 2 * NOTICE_CHARS)
+    known = (F.length("body") <= 2 * NOTICE_CHARS) & F.trim(F.regexp_replace(F.lower("body"), r"\s+", " ")).rlike("|".join(NOTICES))
     short = rows.select("id", "source", norm.alias("norm"), known.alias("known")).withColumn("h", F.xxhash64("norm"))
     # a text's copies within a source are counted once before the sources are
     copies = short.groupBy("h", "source").agg(F.min("norm").alias("norm"), F.max("known").alias("known"))
