@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark import StorageLevel
@@ -31,12 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session's spark.checkpoint.dir; only where that is unset, a folder of our own."""
+    """The shared folder named by the session's spark.checkpoint.dir; a folder of our own only where that is unset and all runs on
+    one machine. On a cluster without a shared folder this is an error: a machine's own folder would lose data with the machine."""
     sc = spark.sparkContext
-    if (set_already := sc.getCheckpointDir()) is None:
+    if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or os.environ.get("INKSTREAM_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="inkstream-"))
-    return set_already or sc.getCheckpointDir()
+        if named is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="inkstream-"))
+    return sc.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
