@@ -8,7 +8,8 @@ contributions that point away from prose (few sentences, many marks, ...) outwei
 The language is that of the fixed function words found in the text; the label, brought to two letters, decides only where none is
 found. Languages with few documents share the fit of all documents.
 
-Defined results: NULL and blank texts have statistics of 0 and are not reported as outliers; repeated rows come out once; texts of
+Defined results: NULL and blank texts have statistics of 0 and are not reported as outliers (texts of symbols or digits without a
+letter are judged like others); repeated rows come out once; texts of
 any length are measured whole; an empty table gives no rows.
 """
 
@@ -76,7 +77,7 @@ def statistics(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang:
     hits = {k: F.size(F.array_intersect(F.array(*map(F.lit, dict.fromkeys(v.split()))), F.col("__common"))) for k, v in COMMON_WORDS.items()}
     df = df.select(
         ident, "__label", *[F.col(c).cast("double").alias(c) for c in ("__n", "__nd", "__nl", "__total")], F.col("__letters").cast("double").alias("__letters"), in_kind(2).alias("__prose"), in_kind(1).alias("__marked"),
-        only(r"[\p{L}\p{M}\p{N}\s]+").alias("__symbols"), only(r"[^\p{N}]+").alias("__digits"), only(r"[^\p{Lu}]+").alias("__upper"), only(r"[^.!?。！？…]+").alias("__stops"),
+        F.when(t.rlike(r"[^\s\p{Z}\p{C}]"), only(r"[\p{L}\p{M}\p{N}\s]+")).otherwise(0.0).alias("__symbols"), only(r"[^\p{N}]+").alias("__digits"), only(r"[^\p{Lu}]+").alias("__upper"), only(r"[^.!?。！？…]+").alias("__stops"),
         F.array_max(F.array(*[F.struct(h.alias("n"), F.lit(k).alias("k")) for k, h in hits.items()])).alias("__lang"),
     )
     df = fence(df)
@@ -167,4 +168,6 @@ def _finish(stats: DataFrame, fits, limit: float) -> DataFrame:
     parts = [f"part_{s}" for s in STATS]
     schema = ", ".join([f"{n} {t}" for n, t in stats.dtypes] + ["distance2 double", "away double"] + [f"{p} double" for p in parts])
     found = stats.mapInPandas(_distances(fits or {"": (np.zeros(len(STATS)), np.eye(len(STATS)))}), schema)
-    return found.withColumn("is_outlier", (F.col("log_words") > 0) & (F.col("distance2") > limit) & (F.col("away") > 0))
+    # every character is a letter, a digit, a symbol or blank
+    has_text = (F.col("log_words") > 0) | (F.col("digit_share") > 0) | (F.col("symbol_share") > 0)
+    return found.withColumn("is_outlier", has_text & (F.col("distance2") > limit) & (F.col("away") > 0))

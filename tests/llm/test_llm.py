@@ -194,3 +194,12 @@ def test_quality(spark):
     assert abs(sum(r[f"part_{s}"] for s in Q.STATS) - r["distance2"]) < 1e-6 * r["distance2"]
     assert got.groupBy("doc_id").count().agg(F.max("count")).collect()[0][0] == 1
     assert Q.outliers(df.limit(0)).count() == 0
+
+
+def test_quality_without_letters(spark):
+    prose = ["The quick fox ran over the hill and it was seen by all of the people. They said that it would be back soon, and so it was.", "A man and his dog were on the road to the town. It was late, but they had not been in a hurry, so there was time for a rest."]
+    data = [(i, prose[i % 2] + f" It was day {i} of the year.", "en") for i in range(150)]
+    data += [(900, "#@~ %%^ &*!! ◊◊◊ ~~~ ||| ###\n$$$ ^^^ &&&", "en"), (901, "12 | 34 | 56\n78 | 90 | 11\n22 | 33 | 44", None), (902, "2019 14 7\n2020 15 8\n2021 16 9", "de")]
+    data += [(910, " \n\t ", "en"), (911, None, "en"), (912, "\u00a0\u2003\n\u200b", "en")]
+    got = Q.outliers(spark.createDataFrame(data, "doc_id bigint, text string, lang string"))
+    assert [r[0] for r in rows(got.filter("is_outlier").select("doc_id"))] == [900, 901, 902]
