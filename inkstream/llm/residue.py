@@ -2,13 +2,15 @@
 
 Method: every distinct text (digits masked) gets a 64-bit SimHash over its word shingles; texts that agree in two of five blocks
 of the hash meet in one of ten partitioned tables, and are linked when at most `HAMMING` bits differ and the shingle similarity is
-0.8 or more; texts known to be residue carry their label through the connected components of these links.
+0.8 or more; texts known to be residue carry their label through the connected components of these links. A pair of similarity 0.8
+often differs in more bits, so the labelled texts are then joined exactly to those that the tables missed, on prefixes of their
+shingles, until no text is added.
 
 Trusted labels: a text that consists of a known notice; and a short text that stands, digits masked, in several sources, which
 articles do not. Unfilled slots and filler make a case wherever they stand, so they are labelled by themselves and not carried on.
 
 Defined results: NULL, empty and blank bodies are no cases; repeated rows of an id come out once; texts of any length are hashed
-whole; an empty table gives no rows. Links between texts that differ in more than HAMMING bits are beyond the tables.
+whole; an empty table gives no rows. What comes out does not depend on HAMMING, which only decides how much the tables find first.
 """
 
 from __future__ import annotations
@@ -58,29 +60,40 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def simhashes(texts: pa.Array) -> np.ndarray:
-    """64-bit SimHash of the distinct word shingles of each text; a text shorter than a shingle is one shingle."""
+def _distinct_shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct word shingles of all texts, ordered by text and hash, and the text of each; a text shorter than a
+    shingle is one shingle."""
     words = pc.split_pattern(pc.fill_null(texts, ""), " ")
     enc = words.flatten().dictionary_encode()
     w = pd.util.hash_array(np.asarray(enc.dictionary.to_pandas(), dtype=object), categorize=False)[np.asarray(enc.indices)] if len(enc) else np.array([], np.uint64)
     off = np.asarray(words.offsets)
-    out = np.zeros(len(off) - 1, np.uint64)
     if not len(w):
-        return out
+        return w, np.array([], np.int64)
     padded = np.concatenate([w, np.zeros(SHINGLE, np.uint64)])
     ends = np.repeat(off[1:], np.diff(off))
     at = np.arange(len(w)) + off[0]
     h = np.zeros(len(w), np.uint64)
     for j in range(SHINGLE):
         h = _mix(h ^ np.where(at + j < ends, padded[j : j + len(w)], np.uint64(j + 1)))
-    own = np.repeat(np.arange(len(out)), np.diff(off))
+    own = np.repeat(np.arange(len(off) - 1), np.diff(off))
     first = np.repeat(off[:-1], np.diff(off))
     keep = (at + SHINGLE <= ends) | (at == first)  # windows that fit, or the only one
     h, own = h[keep], own[keep]
     order = np.lexsort((h, own))
     h, own = h[order], own[order]
     new = np.concatenate([[True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])])
-    h, own = h[new], own[new]
+    return h[new], own[new]
+
+
+def simhashes(texts: pa.Array) -> np.ndarray:
+    """64-bit SimHash of the distinct word shingles of each text."""
+    return _simhashes(*_distinct_shingles(texts), len(texts))
+
+
+def _simhashes(h: np.ndarray, own: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size, np.uint64)
+    if not len(h):
+        return out
     starts = np.searchsorted(own, np.arange(len(out)))
     n = np.bincount(own, minlength=len(out))
     some = n > 0
@@ -91,10 +104,43 @@ def simhashes(texts: pa.Array) -> np.ndarray:
 
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with their SimHash and number of distinct shingles."""
+    for b in batches:
+        for i in range(0, b.num_rows, 2000):
+            part = b.slice(i, 2000)
+            h, own = _distinct_shingles(part.column("norm"))
+            made = [pa.array(_simhashes(h, own, part.num_rows).view(np.int64)), pa.array(np.bincount(own, minlength=part.num_rows).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, "sim", "n"])
+
+
+def hashed(texts: DataFrame) -> DataFrame:
+    """texts (norm, ...) with sim, the SimHash, and n, the number of distinct shingles."""
+    return texts.mapInArrow(_hash_batches, ", ".join(f"{c} {t}" for c, t in [*texts.dtypes, ("sim", "bigint"), ("n", "bigint")]))
+
+
+def _prefix_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, s): the shingles of a text of which a text of similarity SIMILAR has at least one among its own, in order of their hash."""
     for b in batches:
         for i in range(0, b.num_rows, 2000):
             part = b.slice(i, 2000)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(simhashes(part.column(1)).view(np.int64))], ["h", "sim"])
+            s, own = _distinct_shingles(part.column("norm"))
+            n = np.bincount(own, minlength=part.num_rows)
+            place = np.arange(len(own)) - (np.cumsum(n) - n)[own]
+            keep = place <= (n - np.ceil(SIMILAR * n - 1e-9))[own]
+            yield pa.RecordBatch.from_arrays([part.column("h").take(pa.array(own[keep])), pa.array(s[keep].view(np.int64))], ["h", "s"])
+
+
+def _shingles(c: str) -> Column:
+    w = F.split(c, " ")
+    n = F.greatest(F.size(w) - SHINGLE + 1, F.lit(1))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.array_join(F.slice(w, i, F.lit(SHINGLE)), " "))))
+
+
+def _similar(ends: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ends (a, b, na, nb) whose texts have a shingle similarity of SIMILAR or more."""
+    ends = ends.select("a", "b", _shingles("na").alias("sa"), _shingles("nb").alias("sb"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    return ends.filter(both >= SIMILAR * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
 def near_links(texts: DataFrame) -> DataFrame:
@@ -102,7 +148,7 @@ def near_links(texts: DataFrame) -> DataFrame:
 
     Texts with one and the same hash are linked to the least of them; of different hashes, those that meet in a table are compared.
     """
-    sims = cut(texts.select("h", "norm").mapInArrow(_hash_batches, "h bigint, sim bigint"))
+    sims = cut((texts if "sim" in texts.columns else hashed(texts)).select("h", "sim"))
     heads = cut(sims.groupBy("sim").agg(F.min("h").alias("head")))
     same = sims.join(heads, "sim").filter("h <> head").select(F.col("head").alias("a"), F.col("h").alias("b"))
     shift, blocks = 0, []
@@ -118,15 +164,29 @@ def near_links(texts: DataFrame) -> DataFrame:
     near = tables.withColumnRenamed("head", "a").join(other, ["t", "key"]).filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("sim").bitwiseXOR(F.col("sim2"))) <= HAMMING)).select("a", "b")
     pairs = cut(same.unionByName(near).distinct())
 
-    def shingles(c: str) -> Column:
-        w = F.split(c, " ")
-        n = F.greatest(F.size(w) - SHINGLE + 1, F.lit(1))
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.array_join(F.slice(w, i, F.lit(SHINGLE)), " "))))
-
     left, right = texts.select(F.col("h").alias("a"), F.col("norm").alias("na")), texts.select(F.col("h").alias("b"), F.col("norm").alias("nb"))
-    ends = pairs.join(left, "a").join(right, "b").select("a", "b", shingles("na").alias("sa"), shingles("nb").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return ends.filter(both >= SIMILAR * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    return _similar(pairs.join(left, "a").join(right, "b"))
+
+
+def reached(texts: DataFrame, marked: DataFrame) -> DataFrame:
+    """(h): marked texts and all that chains of links of similarity SIMILAR or more join to them, whatever their SimHash.
+
+    texts: (h, norm, n), one row a text, n its number of distinct shingles; marked: (h). In every round the texts added last meet the
+    others of a size within reach on prefix shingles, and the pairs that meet are compared. Articles link to no notice, so that only
+    texts about as short as the marked ones are looked at.
+    """
+    found = last = cut(marked.select("h").distinct())
+    while last.limit(1).count():
+        new = cut(texts.join(broadcast_if_small(last), "h", "left_semi").select("h", "norm", "n"))
+        sizes = new.select("n").distinct().select(F.explode(F.sequence(F.ceil(F.col("n") * SIMILAR - 1e-9), F.floor(F.col("n") / SIMILAR + 1e-9))).alias("n")).distinct()
+        rest = texts.select("h", "norm", "n").join(broadcast_if_small(cut(sizes)), "n", "left_semi").join(broadcast_if_small(found), "h", "left_anti").select("h", "norm")
+        of_new = broadcast_if_small(cut(new.select("h", "norm").mapInArrow(_prefix_batches, "h bigint, s bigint")).withColumnRenamed("h", "a"))
+        of_rest = rest.mapInArrow(_prefix_batches, "h bigint, s bigint").withColumnRenamed("h", "b")
+        pairs = cut(of_rest.join(of_new, "s").select("a", "b").distinct().join(new.select(F.col("h").alias("a"), F.col("norm").alias("na")), "a"))
+        met = texts.select(F.col("h").alias("b"), F.col("norm").alias("nb")).join(broadcast_if_small(pairs, 20_000), "b")
+        last = cut(_similar(met).select(F.col("b").alias("h")).distinct())
+        found = cut(found.unionByName(last))
+    return found
 
 
 def residue(items: DataFrame) -> DataFrame:
@@ -138,12 +198,12 @@ def residue(items: DataFrame) -> DataFrame:
     short = rows.select("id", "source", norm.alias("norm"), known.alias("known")).withColumn("h", F.xxhash64("norm"))
     # a text's copies within a source are counted once before the sources are
     copies = short.groupBy("h", "source").agg(F.min("norm").alias("norm"), F.max("known").alias("known"))
-    texts = cut(copies.groupBy("h").agg(F.min("norm").alias("norm"), F.max("known").alias("known"), F.count("source").alias("n_sources")))
+    texts = cut(hashed(copies.groupBy("h").agg(F.min("norm").alias("norm"), F.max("known").alias("known"), F.count("source").alias("n_sources"))))
     trusted = texts.filter(F.col("known") | ((F.length("norm") > 0) & (F.length("norm") <= NOTICE_CHARS) & (F.col("n_sources") >= NOTICE_SOURCES))).select("h")
     parts = components(near_links(texts))
     marked = parts.join(trusted.withColumnRenamed("h", "node"), "node", "left_semi").select("component").distinct()
     carried = parts.join(marked, "component", "left_semi").select(F.col("node").alias("h"))
-    labelled = broadcast_if_small(cut(trusted.unionByName(carried).distinct()), 400_000)
+    labelled = broadcast_if_small(reached(texts, trusted.unionByName(carried)), 400_000)
     notices = short.select("id", "h").join(labelled, "h", "left_semi").select("id", F.lit("notice").alias("kind"))
     return slots.unionByName(notices).groupBy("id").agg(F.max("kind").alias("kind"))
 

@@ -203,3 +203,23 @@ def test_quality_without_letters(spark):
     data += [(910, " \n\t ", "en"), (911, None, "en"), (912, "\u00a0\u2003\n\u200b", "en")]
     got = Q.outliers(spark.createDataFrame(data, "doc_id bigint, text string, lang string"))
     assert [r[0] for r in rows(got.filter("is_outlier").select("doc_id"))] == [900, 901, 902]
+
+
+def test_residue_reaches_all_similar_texts(spark):
+    rng = np.random.default_rng(5)
+    words = [f"{a}{b}" for a in "bcdfghjklm" for b in "aeiouy"]
+    base = list(rng.choice(words, 30))
+    texts = [" ".join(base)]
+    for k in range(12):  # reworded from the end: similarities just over and under 0.8
+        texts.append(" ".join(base[: 30 - k] + [f"x{chr(97 + k)}{chr(97 + j)}" for j in range(k)]))
+    texts += [" ".join(rng.choice(words, 30)) for _ in range(20)] + [" ".join(base[:20] + [f"q{chr(97 + j)}" for j in range(10)]), "", "ba"]
+    shingles = [{tuple(t.split(" ")[i : i + 5]) for i in range(max(1, len(t.split(" ")) - 4))} for t in texts]
+    want, grew = {0}, True
+    while grew:
+        add = {b for b in range(len(texts)) for a in want if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])} - want
+        want, grew = want | add, bool(add)
+    assert 3 <= len(want) < len(texts) - 20
+    df = spark.createDataFrame(list(enumerate(texts)), "h bigint, norm string")
+    assert {r[0] for r in RS.reached(RS.hashed(df), df.filter("h = 0").select("h")).collect()} == want
+    data = [(f"k{i}", f"s{i}", None, texts[0]) for i in range(3)] + [(f"t{i}", "own", None, t) for i, t in enumerate(texts) if t]
+    assert {i for i, _ in rows(RS.residue(items(spark, data)))} == {f"k{i}" for i in range(3)} | {f"t{i}" for i in want}
