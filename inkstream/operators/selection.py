@@ -1,4 +1,4 @@
-"""Selection of a diverse top set. The sequential steps run over the scored clusters of one digest, whose number is checked."""
+"""Selection of a diverse top set. MMR runs over the scored clusters of one digest, whose number is checked."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: Candidates that a sequential step takes: what one digest can rank. More are an error, never cut off silently.
 MAX_CANDIDATES = 20_000
 
@@ -69,21 +71,28 @@ def mmr_dynamic(candidates: DataFrame, lam: float = 0.65, least: int = 8, most:
 
 def greedy_dedup(items: DataFrame) -> DataFrame:
     """Kept (cluster, id) of (cluster, place, pos, id, url, signature): in order of place and pos an item stays if its URL is unseen
-    and its signature is empty or unseen among the items kept so far; only kept items count as seen."""
+    and its signature is empty or unseen among the items kept so far; only kept items count as seen.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        urls, sigs, keep = set(), set(), []
-        for r in pdf.sort_values(["place", "pos", "id"]).itertuples():
-            ok = r.url not in urls and (not r.signature or r.signature not in sigs)
-            keep.append((r.Index, ok))
-            if ok:
-                urls.add(r.url)
-                if r.signature:
-                    sigs.add(r.signature)
-        return pdf.loc[[i for i, ok in keep if ok], ["cluster", "id"]]
-
-    kind = items.schema["cluster"].dataType.simpleString()
-    return _checked(items).groupBy().applyInPandas(run, f"cluster {kind}, id string")
+    Decided in rounds: an undecided item that comes first at its URL and at its signature stays, and shuts out all that share one of
+    them. Nothing before it can matter any more, so this gives the rows of the ordered scan, and no task meets more than a key's rows.
+    """
+
+    order = [F.col(c).asc_nulls_last() for c in ("place", "pos", "id", "cluster", "url", "signature")]
+    rows = items.select("cluster", "place", "pos", "id", "url", "signature").distinct().orderBy(*order)
+    rows = cut(rows.select("cluster", "id", "url", "signature", F.monotonically_increasing_id().alias("n")))
+    own = F.array(F.coalesce(F.concat(F.lit("u"), "url"), F.lit("-")), F.when(F.col("signature") != "", F.concat(F.lit("s"), "signature")))
+    left = cut(rows.select("n", F.explode(own).alias("key")).filter("key is not null"))
+    kept = left.select("n").limit(0)
+    while True:
+        first = left.groupBy("key").agg(F.min("n").alias("first"))
+        won = cut(left.join(first, "key").groupBy("n").agg(F.every(F.col("n") == F.col("first")).alias("ok")).filter("ok").select("n"))
+        if won.limit(1).count() == 0:
+            break
+        kept = cut(kept.unionByName(won))
+        # the kept items' own rows hold their keys, so they leave with those they shut out
+        decided = left.join(left.join(won, "n", "left_semi").select("key"), "key", "left_semi").select("n").distinct()
+        left = cut(left.join(decided, "n", "left_anti"))
+    return rows.join(kept, "n", "left_semi").select("cluster", "id")
 
 
 def distinct_links(items: DataFrame, cap: int = 5) -> DataFrame:

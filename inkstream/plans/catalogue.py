@@ -656,8 +656,8 @@ def distinct_links(spark, sf_dir):
 
 @query()
 def greedy_dedup(spark, sf_dir):
-    """Newsroom items in order of arrival as one selection."""
-    i = _one_item(_items(spark, sf_dir)).join(table(spark, sf_dir, "sources").filter("kind = 'newsroom'").select("source").distinct(), "source", "left_semi")
+    """All items in order of arrival as one selection."""
+    i = _one_item(_items(spark, sf_dir))
     return SE.greedy_dedup(i.select(F.col("source").alias("cluster"), F.col("ingested_at").alias("place"), F.lit(0).alias("pos"), "id", "url", X.title_signature(F.col("title")).alias("signature")))
 
 

@@ -197,3 +197,17 @@ def test_two_lanes_and_digest(spark):
     scored = spark.createDataFrame([(1, 0.5, 1), (1, 0.4, 2), (None, 0.9, 3)], "topic_id bigint, score double, place int")
     got = D.persist_signals(stored, scored, "2026-W01").collect()
     assert [(r["topic_id"], r["score"], r["persistence_rate"], r["trend"]) for r in got] == [(1, 0.4, -1.0, 0.0)]
+
+
+def test_greedy_dedup_without_cap_equals_loop(spark, monkeypatch):
+    monkeypatch.setattr(SE, "MAX_CANDIDATES", 10)
+    rng = np.random.default_rng(3)
+    d = [(int(rng.integers(4)), int(rng.integers(9)), int(rng.integers(9)), f"i{k}", None if k % 17 == 0 else f"u{rng.integers(60)}", (None, "", f"s{rng.integers(60)}")[min(2, int(rng.integers(5)))]) for k in range(150)]
+    urls, sigs, want = set(), set(), []
+    for r in sorted(d, key=lambda r: (r[1], r[2], r[3])):
+        if r[4] not in urls and (not r[5] or r[5] not in sigs):
+            urls.add(r[4])
+            sigs.add(r[5])
+            want.append((r[0], r[3]))
+    got = SE.greedy_dedup(spark.createDataFrame(d, "cluster int, place int, pos int, id string, url string, signature string"))
+    assert rows(got) == sorted(want, key=str)
