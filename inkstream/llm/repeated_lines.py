@@ -2,7 +2,8 @@
 
 Two lines are the same if their letters, lower-cased, are the same in sequence. Method: every partition keeps a mergeable
 heavy-hitter summary per source (Misra-Gries counters over the lines of its rows); the summaries are added up and give the
-candidate lines, with an upper bound that can miss none; a second pass counts the candidates exactly over distinct ids; the
+candidate lines, with an upper bound; where a source's error reaches what makes a line repeated, so that a line could be missed, all
+its lines are counted instead; a second pass counts the candidates exactly over distinct ids; the
 confirmed lines are then removed by per-source sets that are broadcast when a check of their size allows.
 
 Defined results: NULL and empty bodies have no lines but their items count for the source; lines without letters are never
@@ -92,8 +93,17 @@ def heavy_lines(items: DataFrame, share: float, least: int) -> DataFrame:
     parts = cut(rows.mapInArrow(_summaries(share), "source string, key bigint, n bigint, err bigint"))
     err = parts.groupBy("source").agg(F.sum("err").alias("err"))
     sums = parts.filter("key is not null").groupBy("source", "key").agg(F.sum("n").alias("n"))
-    bound = sums.join(F.broadcast(err) if _few(err) else err, "source").join(item_counts(items), "source")
-    return bound.filter((F.col("n") + F.col("err") >= least) & (F.col("n") + F.col("err") >= F.col("n_items") * share)).select("source", "key", "n_items")
+    # a key in no summary has at most err occurrences: where that is enough to be repeated, the source's keys are counted
+    known = cut(err.join(item_counts(items), "source"))
+    enough = lambda n: (n >= least) & (n >= F.col("n_items") * share)
+    loose = cut(known.filter(enough(F.col("err"))).select("source", "n_items"))
+    tight = known.filter(~enough(F.col("err")))
+    found = sums.join(F.broadcast(tight) if _few(tight) else tight, "source").filter(enough(F.col("n") + F.col("err"))).select("source", "key", "n_items")
+    if loose.limit(1).count() == 0:
+        return found
+    all_keys = rows.select("source", F.explode("keys").alias("key")).join(F.broadcast(loose) if _few(loose) else loose, "source")
+    counted = all_keys.groupBy("source", "key").agg(F.count("*").alias("n"), F.max("n_items").alias("n_items")).filter(enough(F.col("n")))
+    return found.unionByName(counted.select("source", "key", "n_items"))
 
 
 def _few(df: DataFrame) -> bool:

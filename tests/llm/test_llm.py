@@ -223,3 +223,11 @@ def test_residue_reaches_all_similar_texts(spark):
     assert {r[0] for r in RS.reached(RS.hashed(df), df.filter("h = 0").select("h")).collect()} == want
     data = [(f"k{i}", f"s{i}", None, texts[0]) for i in range(3)] + [(f"t{i}", "own", None, t) for i, t in enumerate(texts) if t]
     assert {i for i, _ in rows(RS.residue(items(spark, data)))} == {f"k{i}" for i in range(3)} | {f"t{i}" for i in want}
+
+
+def test_repeated_lines_more_than_counters(spark):
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    page = "\n".join(f"line {word(i)}" for i in range(RL.COUNTERS + 500))
+    data = [(f"i{k}", "catalogue", None, page + f"\nown {word(k)}") for k in range(10)] + [(f"j{k}", "other", None, "same foot\nown " + word(k)) for k in range(10)]
+    got = RL.repeated_lines(items(spark, data))[1]
+    assert {r["source"]: r["count"] for r in got.groupBy("source").count().collect()} == {"catalogue": RL.COUNTERS + 500, "other": 1}
