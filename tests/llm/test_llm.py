@@ -231,3 +231,29 @@ def test_repeated_lines_more_than_counters(spark):
     data = [(f"i{k}", "catalogue", None, page + f"\nown {word(k)}") for k in range(10)] + [(f"j{k}", "other", None, "same foot\nown " + word(k)) for k in range(10)]
     got = RL.repeated_lines(items(spark, data))[1]
     assert {r["source"]: r["count"] for r in got.groupBy("source").count().collect()} == {"catalogue": RL.COUNTERS + 500, "other": 1}
+
+#: Clean texts that the restoration tests plant: per writing, words that stand often and seldom.
+CLEAN = {
+    "latin": "Der Café-Betreiber in Grünwalde eröffnet früher; são Veiro señaló «más» naïve Übergänge",
+    "russian": "Почему рекламная биржа нужна вещателям, сообщила компания после проверки договоров",
+    "japanese": "会員制度によって広告枠を増やす方針を明らかにした",
+}
+
+
+@pytest.mark.parametrize("writing", CLEAN)
+def test_restoration_by_chain(spark, writing):
+    clean = CLEAN[writing]
+    data = [(f"c{k}", "s", None, f"{t} — {'x' * k}") for t in CLEAN.values() for k in range(1, 4)]
+    data = [(f"{i}-{n}", *x[1:]) for n, x in enumerate(data) for i in range(2)]
+    want = {}
+    for c, chain in enumerate(EN.CHAINS):
+        form = EN.garble(clean, chain)
+        if form and form != clean and EN.ungarble(form, chain) == clean:
+            want[f"g{c}"] = clean + " … Grünwalde"
+            data.append((f"g{c}", "s", None, form + " … Grünwalde"))  # clean words stand beside
+    assert len(want) >= 4
+    back = {r["id"]: r["restored"] for r in EN.restored_values(items(spark, data)).collect()}
+    right = [i for i, t in want.items() if back.get(i) == t]
+    print(writing, len(want), [(EN.CHAINS[int(i[1:])], back.get(i)) for i in want if i not in right])
+    assert len(right) >= 0.9 * len(want)
+    assert all(back.get(i, t) == t for i, _, _, t in data if not i.startswith("g"))
