@@ -15,14 +15,19 @@ any length are measured whole; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, fence
+from ..session import cut
 
 # Frequent function words by language.
 COMMON_WORDS = {
@@ -41,50 +46,178 @@ AWAY = {"log_words": 0, "word_length": 2, "symbol_share": 1, "digit_share": 1, "
 FLOOR = {"log_words": 0.5, "word_length": 0.25, "symbol_share": 0.03, "digit_share": 0.03, "prose_share": 0.12, "common_share": 0.15, "upper_share": 0.05, "sentence_rate": 0.25, "line_words": 0.6, "mark_share": 0.15}
 #: Characters from which a line with four function words is taken for a sentence without its stop; headlines are shorter.
 LONG_LINE = 140
-_FUNCTION_WORDS = r"(?iu)(?:\b(?:the|of|and|to|in|for|with|that|der|die|das|und|zu|von|mit|de|la|le|les|et|que|el|los|en|do|da|em|no|и|в|на|с|по)\b.*?){4}"
-_CJK = r"぀-ヿ㐀-鿿"
+#: Function words that make a long line a sentence.
+_FUNCTION_WORDS = "the of and to in for with that der die das und zu von mit de la le les et que el los en do da em no и в на с по".split()
+_RUNS_ON = re.compile(r"([^\W\d_]{2})[.!?][\"”’»)]?\s+[\"“«„—–-]?\s?(?=([^\W\d_]{2}))|[。！？]\S")
+_LIST_LINE = r"^(?:[-–—•*►▪·+>]|\[.?\]|\(?\w{1,3}[.):])\s|[|;\t].*[|;\t]|^\S+(?:,[^,\s][^,]*){2,}$"
+#: Characters that are measured at once.
+CHUNK = 2_000_000
+_LETTER, _MARK, _DIGIT, _UPPER, _BLANK, _DENSE, _STOP, _TRAIL = (1 << i for i in range(8))
+_MULTIPLIER = 0x9E3779B97F4A7C15
+
+
+@lru_cache(maxsize=1)
+def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: the bits of its kind, its hash in lower case, and whether it is visible."""
+    kinds, lower, seen = np.zeros(0x110000, np.uint8), np.arange(0x110000, dtype=np.uint64), np.zeros(0x110000, bool)
+    for i in range(0x110000):
+        c = chr(i)
+        cat = unicodedata.category(c)
+        kinds[i] = (_LETTER if cat[0] == "L" else _MARK if cat[0] == "M" else _DIGIT if cat[0] == "N" else 0) | (_UPPER if cat == "Lu" else 0)
+        seen[i] = cat[0] not in "ZC"
+        if cat == "Lu" and len(c.lower()) == 1:
+            lower[i] = ord(c.lower())
+    for chars, bit in ((" \t\n\x0b\f\r", _BLANK), (".!?。！？…", _STOP), (" \t\n\x0b\f\r\"'”’»«“」』)]", _TRAIL)):
+        kinds[[ord(c) for c in chars]] |= bit
+    kinds[0x3040:0x3100] |= _DENSE
+    kinds[0x3400:0xA000] |= _DENSE
+    h = (lower + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    return kinds, h ^ (h >> np.uint64(29)), seen
+
+
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, modulo 2^64."""
+    up, down = np.full(n, _MULTIPLIER, np.uint64), np.full(n, pow(_MULTIPLIER, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def _runs(inside: np.ndarray, parted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true values; where parted is true, every element is a run of its own."""
+    start, end = inside.copy(), inside.copy()
+    start[1:] &= ~inside[:-1] if parted is None else ~inside[:-1] | parted[1:] | parted[:-1]
+    end[:-1] &= ~inside[1:] if parted is None else ~inside[1:] | parted[1:] | parted[:-1]
+    return np.flatnonzero(start), np.flatnonzero(end) + 1
+
+
+def _word_hashes(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the lower-cased characters of each stretch [start, end) of code, by differences of one running sum."""
+    size = 1 << max(10, int(len(code)).bit_length())
+    up, down = (x[: len(code)] for x in _powers(size))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_characters()[1][code] * up, dtype=np.uint64)])
+    return (total[end] - total[start]) * down[start]
+
+
+@lru_cache(maxsize=1)
+def _known_words() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of all function words, the languages of each as bits, and whether it is one of _FUNCTION_WORDS."""
+    of: dict[str, int] = {}
+    for k, ws in enumerate(COMMON_WORDS.values()):
+        for w in ws.split():
+            of[w] = of.get(w, 0) | 1 << k
+    words = list(of) + [w for w in _FUNCTION_WORDS if w not in of]
+    code = np.array([ord(c) for c in " ".join(words)], np.uint32)
+    size = np.array([len(w) for w in words])
+    start = np.cumsum(size + 1) - size - 1
+    h = _word_hashes(code, start, start + size)
+    order = np.argsort(h)
+    return h[order], np.array([of.get(w, 0) for w in words])[order], np.array([w in _FUNCTION_WORDS for w in words])[order]
+
+
+def _measure(texts: list[str]) -> dict[str, np.ndarray]:
+    """Counts of each text, by passes over the code points of all of them."""
+    # a line end parts the texts
+    code = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds, _, visible = _characters()
+    kind = kinds[code]
+    sizes = np.array([len(t) for t in texts])
+    bounds = np.concatenate([[0], np.cumsum(sizes + 1)])
+    lo, hi = bounds[:-1], bounds[1:] - 1
+
+    def between(flags: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        c = np.concatenate([np.zeros(1, np.int32), np.cumsum(flags, dtype=np.int32)])
+        return c[b] - c[a]
+
+    letter = kind & _LETTER > 0
+    lettered = kind & (_LETTER | _MARK) > 0
+    dense = kind & _DENSE > 0
+    in_word = lettered | dense
+    odd = kind & (_LETTER | _MARK | _BLANK) == 0
+    out = {
+        "letters": between(in_word, lo, hi), "digits": between(kind & _DIGIT > 0, lo, hi), "upper": between(kind & _UPPER > 0, lo, hi), "stops": between(kind & _STOP > 0, lo, hi),
+        "symbols": between(odd & (kind & _DIGIT == 0), lo, hi) * (between(visible[code], lo, hi) > 0),
+    }
+    # words
+    start, end = _runs(in_word, dense)
+    h = _word_hashes(code, start, end)
+    doc = np.searchsorted(bounds, start, "right") - 1
+    known, langs, common = _known_words()
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    is_known = known[at] == h
+    out["n"] = np.bincount(doc, minlength=len(texts))
+    order = np.lexsort((h, doc))
+    first = np.ones(len(order), bool)
+    first[1:] = (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+    distinct = order[first]
+    out["nd"] = np.bincount(doc[distinct], minlength=len(texts))
+    hit = distinct[is_known[distinct]]
+    for k, lang in enumerate(COMMON_WORDS):
+        out[f"hits_{lang}"] = np.bincount(doc[hit], (langs[at[hit]] >> k) & 1, len(texts)).astype(np.int64)
+    # lines without the spaces around them
+    stop = np.flatnonzero(code == 10)
+    a, b = np.concatenate([[0], stop[:-1] + 1]), stop
+    place = np.arange(len(code))
+    ink = code != 32
+    after = np.minimum.accumulate(np.where(ink, place, len(code))[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(ink, place, -1))
+    a, b = after[a], before[np.maximum(b - 1, 0)] + 1
+    a, b = a[a < b], b[a < b]
+    of = np.searchsorted(bounds, a, "right") - 1
+    n = b - a
+    out["nl"], out["total"] = np.bincount(of, minlength=len(texts)), np.bincount(of, n, len(texts)).astype(np.int64)
+    # a line is prose if it has words enough, few marks, and ends with a stop or goes on after one
+    solid = np.maximum.accumulate(np.where(kind & _TRAIL == 0, place, -1))[b - 1]
+    stops = (solid >= a) & (kind[np.maximum(solid, 0)] & _STOP > 0)
+    groups = np.zeros(len(code), bool)
+    groups[_runs(letter)[0]] = True
+    eight = np.concatenate([np.zeros(1, np.int32), np.cumsum(dense, dtype=np.int32)])
+    eight = np.concatenate([eight[8:] - eight[:-8] == 8, np.zeros(8, bool)])[: len(code)] if len(code) >= 8 else np.zeros(len(code), bool)
+    wordy = (between(groups, a, b) >= 5) | ((n >= 8) & (between(eight, a, np.maximum(b - 7, a)) > 0))
+    may = wordy & (between(odd, a, b) < 0.25 * n)
+    function = np.zeros(len(code), bool)
+    function[start[is_known & common[at]]] = True
+    prose = may & (stops | ((n >= LONG_LINE) & (between(function, a, b) >= 4)))
+    cut_out = lambda i: code[a[i] : b[i]].tobytes().decode("utf-32-le", "surrogatepass")
+    for i in np.flatnonzero(may & ~prose):
+        prose[i] = bool(_goes_on(cut_out(i)))
+    rest = np.flatnonzero(~prose)
+    listed = np.array([bool(_LISTED(cut_out(i))) for i in rest], bool)
+    out["prose"] = np.bincount(of[prose], n[prose], len(texts)).astype(np.int64)
+    out["marked"] = np.bincount(of[rest[listed]], n[rest[listed]], len(texts)).astype(np.int64)
+    return out
+
+
+_LISTED = re.compile(_LIST_LINE, re.ASCII).search
+
+
+def _goes_on(line: str) -> bool:
+    """Whether a sentence ends within the line: two small letters, a stop, and a capital with a small letter, or a stop in dense script."""
+    return any(m[1] is None or (m[1].islower() and m[2][0].isupper() and m[2][1].islower()) for m in _RUNS_ON.finditer(line))
 
 
 def statistics(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(ident, lang_found, <STATS>...), one row per distinct document row; every statistic is a double."""
-    # hard-wrapped and quoted lines are put together again: a line that goes on in lower case continues the one before
-    flat = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\r?\n[>\s]*(?=\p{Ll})", " ")
-    df = docs.select(F.col(ident), F.col(lang).alias("__label"), flat.alias("__t"))
-    dense = F.regexp_extract_all(F.lower("__t"), F.lit(rf"[{_CJK}]|[\p{{L}}\p{{M}}&&[^{_CJK}]]+"), 0)
-    df = df.withColumn("__words", F.when(F.col("__t").rlike(f"[{_CJK}]"), dense).otherwise(F.regexp_extract_all(F.lower("__t"), F.lit(r"[\p{L}\p{M}]+"), 0)))
-    df = df.withColumn("__lines", F.filter(F.transform(F.split("__t", "\n", -1), lambda x: F.trim(x)), lambda x: F.length(x) > 0))
-    df = fence(df)
-    t, words, lines = F.col("__t"), F.col("__words"), F.col("__lines")
-    size = lambda x: F.length(x).cast("double")
-    only = lambda cls: size(F.regexp_replace(t, cls, ""))
-    total = F.aggregate(lines, F.lit(0), lambda a, x: a + F.length(x)).cast("double")
-
-    def is_prose(x: Column) -> Column:
-        ends = x.rlike(r"[.!?。！？…][\s\"'”’»«“」』)\]]*$")
-        wordy = x.rlike(rf"(?:\p{{L}}[\p{{L}}\p{{M}}'’-]*[^\p{{L}}]+){{4}}\p{{L}}|[{_CJK}]{{8}}")
-        marks = F.length(F.regexp_replace(x, r"[\p{L}\p{M}\s]+", ""))
-        # paragraphs that lost their last full stop: sentences within, or a long line with several function words
-        runs_on = x.rlike(r"\p{Ll}{2,}[.!?][\"”’»)]?\s+[\"“«„—–-]?\s?\p{Lu}\p{Ll}|[。！？]\S") | ((F.length(x) >= LONG_LINE) & x.rlike(_FUNCTION_WORDS))
-        return (ends | runs_on) & wordy & (marks < F.length(x) * 0.25)
-
-    # 2: prose, 1: list entry or table row; each line is judged once
-    marks = r"^(?:[-–—•*►▪·+>]|\[.?\]|\(?\w{1,3}[.):])\s|[|;\t].*[|;\t]|^\S+(?:,[^,\s][^,]*){2,}$"
-    judged = F.transform(lines, lambda x: F.struct(F.length(x).alias("n"), F.when(is_prose(x), 2).when(x.rlike(marks), 1).otherwise(0).alias("k")))
-    in_kind = lambda k: F.aggregate("__judged", F.lit(0), lambda a, x: a + F.when(x["k"] == k, x["n"]).otherwise(0)).cast("double")
-    distinct = F.array_distinct(words)
-    every = list(dict.fromkeys(w for v in COMMON_WORDS.values() for w in v.split()))
-    df = fence(df.select(ident, "__label", "__t", F.size(words).alias("__n"), F.length(F.array_join(words, "")).alias("__letters"), F.size(distinct).alias("__nd"), F.size(lines).alias("__nl"), judged.alias("__judged"), F.array_intersect(distinct, F.array(*map(F.lit, every))).alias("__common"), total.alias("__total")))
-    hits = {k: F.size(F.array_intersect(F.array(*map(F.lit, dict.fromkeys(v.split()))), F.col("__common"))) for k, v in COMMON_WORDS.items()}
-    df = df.select(
-        ident, "__label", *[F.col(c).cast("double").alias(c) for c in ("__n", "__nd", "__nl", "__total")], F.col("__letters").cast("double").alias("__letters"), in_kind(2).alias("__prose"), in_kind(1).alias("__marked"),
-        F.when(t.rlike(r"[^\s\p{Z}\p{C}]"), only(r"[\p{L}\p{M}\p{N}\s]+")).otherwise(0.0).alias("__symbols"), only(r"[^\p{N}]+").alias("__digits"), only(r"[^\p{Lu}]+").alias("__upper"), only(r"[^.!?。！？…]+").alias("__stops"),
-        F.array_max(F.array(*[F.struct(h.alias("n"), F.lit(k).alias("k")) for k, h in hits.items()])).alias("__lang"),
-    )
-    df = fence(df)
+    counts = ["n", "nd", "nl", "total", "letters", "prose", "marked", "symbols", "digits", "upper", "stops", *[f"hits_{k}" for k in COMMON_WORDS]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            # hard-wrapped and quoted lines are put together again: a line that goes on in lower case continues the one before
+            flat = pc.replace_substring_regex(pc.fill_null(b.column("__t"), ""), r"\r?\n[>\s]*(\p{Ll})", r" \1")
+            part = np.cumsum(np.asarray(pc.utf8_length(flat), np.int64)) // CHUNK
+            edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if hi > lo:
+                    made = _measure(flat.slice(lo, hi - lo).to_pylist())
+                    yield pa.RecordBatch.from_arrays([b.column("__id").slice(lo, hi - lo), b.column("__label").slice(lo, hi - lo), *[pa.array(made[c].astype(np.int64)) for c in counts]], ["__id", "__label", *[f"__{c}" for c in counts]])
+
+    rows = docs.select(F.col(ident).alias("__id"), F.col(lang).cast("string").alias("__label"), F.col(text).cast("string").alias("__t"))
+    df = rows.mapInArrow(run, f"__id {dict(rows.dtypes)['__id']}, __label string, " + ", ".join(f"__{c} bigint" for c in counts))
+    df = df.withColumn("__lang", F.array_max(F.array(*[F.struct(F.col(f"__hits_{k}").alias("n"), F.lit(k).alias("k")) for k in COMMON_WORDS])))
     safe = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
     label = F.lower(F.regexp_extract(F.coalesce("__label", F.lit("")), r"^\s*([A-Za-z]{2})(?:[-_].*)?\s*$", 1))
     return df.select(
-        ident,
+        F.col("__id").alias(ident),
         F.when(F.col("__lang.n") >= 4, F.col("__lang.k")).when(label.isin(*COMMON_WORDS), label).otherwise("und").alias("lang_found"),
         F.log1p("__n").alias("log_words"),
         F.log1p(safe("__letters", "__n")).alias("word_length"),
