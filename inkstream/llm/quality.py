@@ -16,7 +16,6 @@ any length are measured whole; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .codes import BLANK, DIGIT, LETTER, MARK, STOP, TRAIL, UPPER, DENSE, characters, joined, runs, word_hashes
 
 # Frequent function words by language.
 COMMON_WORDS = {
@@ -52,52 +52,6 @@ _RUNS_ON = re.compile(r"([^\W\d_]{2})[.!?][\"”’»)]?\s+[\"“«„—–-]?\
 _LIST_LINE = r"^(?:[-–—•*►▪·+>]|\[.?\]|\(?\w{1,3}[.):])\s|[|;\t].*[|;\t]|^\S+(?:,[^,\s][^,]*){2,}$"
 #: Characters that are measured at once.
 CHUNK = 2_000_000
-_LETTER, _MARK, _DIGIT, _UPPER, _BLANK, _DENSE, _STOP, _TRAIL = (1 << i for i in range(8))
-_MULTIPLIER = 0x9E3779B97F4A7C15
-
-
-@lru_cache(maxsize=1)
-def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By code point: the bits of its kind, its hash in lower case, and whether it is visible."""
-    kinds, lower, seen = np.zeros(0x110000, np.uint8), np.arange(0x110000, dtype=np.uint64), np.zeros(0x110000, bool)
-    for i in range(0x110000):
-        c = chr(i)
-        cat = unicodedata.category(c)
-        kinds[i] = (_LETTER if cat[0] == "L" else _MARK if cat[0] == "M" else _DIGIT if cat[0] == "N" else 0) | (_UPPER if cat == "Lu" else 0)
-        seen[i] = cat[0] not in "ZC"
-        if cat == "Lu" and len(c.lower()) == 1:
-            lower[i] = ord(c.lower())
-    for chars, bit in ((" \t\n\x0b\f\r", _BLANK), (".!?。！？…", _STOP), (" \t\n\x0b\f\r\"'”’»«“」』)]", _TRAIL)):
-        kinds[[ord(c) for c in chars]] |= bit
-    kinds[0x3040:0x3100] |= _DENSE
-    kinds[0x3400:0xA000] |= _DENSE
-    h = (lower + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    return kinds, h ^ (h >> np.uint64(29)), seen
-
-
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse, modulo 2^64."""
-    up, down = np.full(n, _MULTIPLIER, np.uint64), np.full(n, pow(_MULTIPLIER, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
-def _runs(inside: np.ndarray, parted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of true values; where parted is true, every element is a run of its own."""
-    start, end = inside.copy(), inside.copy()
-    start[1:] &= ~inside[:-1] if parted is None else ~inside[:-1] | parted[1:] | parted[:-1]
-    end[:-1] &= ~inside[1:] if parted is None else ~inside[1:] | parted[1:] | parted[:-1]
-    return np.flatnonzero(start), np.flatnonzero(end) + 1
-
-
-def _word_hashes(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of the lower-cased characters of each stretch [start, end) of code, by differences of one running sum."""
-    size = 1 << max(10, int(len(code)).bit_length())
-    up, down = (x[: len(code)] for x in _powers(size))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_characters()[1][code] * up, dtype=np.uint64)])
-    return (total[end] - total[start]) * down[start]
-
 
 @lru_cache(maxsize=1)
 def _known_words() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,37 +64,34 @@ def _known_words() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     code = np.array([ord(c) for c in " ".join(words)], np.uint32)
     size = np.array([len(w) for w in words])
     start = np.cumsum(size + 1) - size - 1
-    h = _word_hashes(code, start, start + size)
+    h = word_hashes(code, start, start + size)
     order = np.argsort(h)
     return h[order], np.array([of.get(w, 0) for w in words])[order], np.array([w in _FUNCTION_WORDS for w in words])[order]
 
 
 def _measure(texts: list[str]) -> dict[str, np.ndarray]:
     """Counts of each text, by passes over the code points of all of them."""
-    # a line end parts the texts
-    code = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds, _, visible = _characters()
+    code, bounds = joined(texts)
+    kinds, _, visible = characters()
     kind = kinds[code]
-    sizes = np.array([len(t) for t in texts])
-    bounds = np.concatenate([[0], np.cumsum(sizes + 1)])
     lo, hi = bounds[:-1], bounds[1:] - 1
 
     def between(flags: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         c = np.concatenate([np.zeros(1, np.int32), np.cumsum(flags, dtype=np.int32)])
         return c[b] - c[a]
 
-    letter = kind & _LETTER > 0
-    lettered = kind & (_LETTER | _MARK) > 0
-    dense = kind & _DENSE > 0
+    letter = kind & LETTER > 0
+    lettered = kind & (LETTER | MARK) > 0
+    dense = kind & DENSE > 0
     in_word = lettered | dense
-    odd = kind & (_LETTER | _MARK | _BLANK) == 0
+    odd = kind & (LETTER | MARK | BLANK) == 0
     out = {
-        "letters": between(in_word, lo, hi), "digits": between(kind & _DIGIT > 0, lo, hi), "upper": between(kind & _UPPER > 0, lo, hi), "stops": between(kind & _STOP > 0, lo, hi),
-        "symbols": between(odd & (kind & _DIGIT == 0), lo, hi) * (between(visible[code], lo, hi) > 0),
+        "letters": between(in_word, lo, hi), "digits": between(kind & DIGIT > 0, lo, hi), "upper": between(kind & UPPER > 0, lo, hi), "stops": between(kind & STOP > 0, lo, hi),
+        "symbols": between(odd & (kind & DIGIT == 0), lo, hi) * (between(visible[code], lo, hi) > 0),
     }
     # words
-    start, end = _runs(in_word, dense)
-    h = _word_hashes(code, start, end)
+    start, end = runs(in_word, dense)
+    h = word_hashes(code, start, end)
     doc = np.searchsorted(bounds, start, "right") - 1
     known, langs, common = _known_words()
     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
@@ -167,10 +118,10 @@ def _measure(texts: list[str]) -> dict[str, np.ndarray]:
     n = b - a
     out["nl"], out["total"] = np.bincount(of, minlength=len(texts)), np.bincount(of, n, len(texts)).astype(np.int64)
     # a line is prose if it has words enough, few marks, and ends with a stop or goes on after one
-    solid = np.maximum.accumulate(np.where(kind & _TRAIL == 0, place, -1))[b - 1]
-    stops = (solid >= a) & (kind[np.maximum(solid, 0)] & _STOP > 0)
+    solid = np.maximum.accumulate(np.where(kind & TRAIL == 0, place, -1))[b - 1]
+    stops = (solid >= a) & (kind[np.maximum(solid, 0)] & STOP > 0)
     groups = np.zeros(len(code), bool)
-    groups[_runs(letter)[0]] = True
+    groups[runs(letter)[0]] = True
     eight = np.concatenate([np.zeros(1, np.int32), np.cumsum(dense, dtype=np.int32)])
     eight = np.concatenate([eight[8:] - eight[:-8] == 8, np.zeros(8, bool)])[: len(code)] if len(code) >= 8 else np.zeros(len(code), bool)
     wordy = (between(groups, a, b) >= 5) | ((n >= 8) & (between(eight, a, np.maximum(b - 7, a)) > 0))

@@ -1,6 +1,7 @@
 """Small fixtures for every training-data operator: nulls, empties, repeats, ties, clashing columns, brute-force comparisons."""
 
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -92,7 +93,7 @@ def test_residue(spark):
     article = "The plan would let the group expand its audio library while keeping its price list in the city unchanged, people close to the talks said on Monday. " * 3
     data = [("a", "s1", None, article), ("b", "s1", None, article + "Hello {{first_name}} there."), ("c", "s2", None, "404 Not Found\nnginx"), ("d", "s2", None, None), ("e", "s2", None, "  "), ("c", "s2", None, "404 Not Found\nnginx")]
     data += [(f"t{k}", f"s{k}", None, f"Our gizmo is resting now, code {k}") for k in range(3)] + [("u", "s9", None, article + " Please enable JavaScript to view the comments.")]
-    got = dict(rows(RS.residue(items(spark, data))))
+    got = {i: k for i, k, _ in rows(RS.residue(items(spark, data)))}
     assert got == {"b": "slot", "c": "notice", "t0": "notice", "t1": "notice", "t2": "notice"}
     assert RS.residue(items(spark, data).limit(0)).count() == 0
 
@@ -103,9 +104,11 @@ def test_simhash_links_near_texts(spark):
     near = " ".join(words[:200] + ["changed"] + words[201:])
     far = " ".join(f"v{i}" for i in range(400))
     df = spark.createDataFrame([(1, base), (2, near), (3, far), (4, ""), (5, "x")], "h bigint, norm string")
-    assert rows(RS.near_links(df)) in ([(1, 2)], [])  # found when at most HAMMING bits differ
     bits = RS.simhashes(pa.array([base, near, far]))
-    assert bin(int(bits[0]) ^ int(bits[1])).count("1") < bin(int(bits[0]) ^ int(bits[2])).count("1")
+    apart = bin(int(bits[0]) ^ int(bits[1])).count("1")
+    assert apart < bin(int(bits[0]) ^ int(bits[2])).count("1")
+    assert rows(RS.near_links(df)) == ([(1, 2)] if apart <= RS.HAMMING else [])
+    assert {r[0] for r in RS.reached(RS.hashed(df), df.filter("h = 1").select("h")).collect()} == {1, 2}
 
 
 def test_truncation(spark):
@@ -120,14 +123,25 @@ def test_truncation(spark):
     assert TR.truncated(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("scores", [[4, -5, 3, -3, 1, 2, -2, 2, -2, 1, 5], [], [-1, -2], [1, 1], [3, -1, 2, -9, 5]])
-def test_maximal_runs_against_definition(scores):
-    def best(lo, hi):
-        opts = [(sum(scores[a:b]), a - b, -a, a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)]
-        s, _, _, a, b = max(opts, default=(0, 0, 0, 0, 0))
-        return [] if s <= 0 else best(lo, a) + [(a, b)] + best(b, hi)
+@pytest.mark.parametrize("scores", [[4, -5, 3, -3, 1, 2, -2, 2, -2, 1, 5], [], [-1, -2], [1, 1], [3, -1, 2, -9, 5], [2.5, -1, 2.5, -3, 2.5]])
+@pytest.mark.parametrize("cost", [0.5, 2.0, 100.0])
+def test_regions_against_all_choices(scores, cost):
+    def best(inside):
+        starts = sum(x and not y for x, y in zip(inside, (False, *inside), strict=False))
+        return sum(s for s, x in zip(scores, inside, strict=True) if x) - cost * starts, -starts
 
-    assert sorted(B.maximal_runs(scores)) == best(0, len(scores))
+    choices = product((False, True), repeat=len(scores))
+    got = [False] * len(scores)
+    for a, b in B.regions(scores, cost):
+        got[a:b] = [True] * (b - a)
+    assert best(got) == max(map(best, choices))
+
+
+def test_features_of_lines():
+    lines = B.features(["One line here.\n\n\u00a0 | Menu | \r\nTwo, 12 three.", "", " x ", "y\n"])
+    assert list(zip(lines.text.tolist(), lines.number.tolist(), strict=True)) == [(0, 1), (0, 3), (0, 4), (2, 1), (3, 1)]
+    alone = [B.features([x]).feature.tolist() for x in ("One line here.", "| Menu |", "Two, 12 three.", "x", "y")]
+    assert [lines.feature[lines.of == k].tolist() for k in range(5)] == alone
 
 
 def test_boilerplate(spark):
@@ -222,7 +236,7 @@ def test_residue_reaches_all_similar_texts(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "h bigint, norm string")
     assert {r[0] for r in RS.reached(RS.hashed(df), df.filter("h = 0").select("h")).collect()} == want
     data = [(f"k{i}", f"s{i}", None, texts[0]) for i in range(3)] + [(f"t{i}", "own", None, t) for i, t in enumerate(texts) if t]
-    assert {i for i, _ in rows(RS.residue(items(spark, data)))} == {f"k{i}" for i in range(3)} | {f"t{i}" for i in want}
+    assert {i for i, *_ in rows(RS.residue(items(spark, data)))} == {f"k{i}" for i in range(3)} | {f"t{i}" for i in want}
 
 
 def test_repeated_lines_more_than_counters(spark):
@@ -257,3 +271,42 @@ def test_restoration_by_chain(spark, writing):
     print(writing, len(want), [(EN.CHAINS[int(i[1:])], back.get(i)) for i in want if i not in right])
     assert len(right) >= 0.9 * len(want)
     assert all(back.get(i, t) == t for i, _, _, t in data if not i.startswith("g"))
+
+
+def test_residue_carried_to_variants_no_list_knows(spark):
+    rng = np.random.default_rng(11)
+    article = "The plan would let the group expand its audio library while keeping its price list in the city unchanged, people close to the talks said on Monday."
+    filler = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud".split()
+    notice = "Please enable JavaScript to run this app and then reload the page so that the reader of this site can show you the whole story with its pictures tables and notes as they were meant to be seen by all of our readers"
+    data = [("n0", "s0", None, "You need to enable JavaScript to run this app" + notice[len("Please enable JavaScript to run this app") :])]
+    data += [(f"n{k}", f"s{k}", None, f"Kindly {w}" + notice[6:]) for k, w in enumerate(("do", "now", "first", "just"), 1)]  # no list knows these
+    data += [("f0", "s0", None, "Lorem ipsum dolor sit amet " + " ".join(filler)), ("f9", "s0", None, " ".join(filler[::-1][:-1]) + " lorem ipsum")]
+    for k in range(1, 7):
+        words = list(rng.choice(filler, 30))
+        while any(a + " " + b in ("lorem ipsum", "sit amet", "consectetur adipiscing") for a, b in zip(words, words[1:], strict=False)):
+            words = list(rng.choice(filler, 30))
+        data.append((f"f{k}", f"s{k}", None, article + "\n" + " ".join(words) + "."))
+    data += [("m0", "s1", None, article + " Dear {{ reader.first_name_or_nickname_1 }} again"), ("m1", "s2", None, article + " Dear {% reader.first_name_or_nickname_1 %}"), ("m2", "s3", None, article + " Dear <% reader.first_name_or_nickname_1 }"), ("a", "s4", None, article), ("b", "s5", None, article + " It said [more] and {so on}.")]
+    got = {r["id"]: (r["kind"], r["how"]) for r in RS.residue(items(spark, data)).collect()}
+    assert set(got) == {f"n{k}" for k in range(5)} | {f"f{k}" for k in (*range(7), 9)} | {"m0", "m1"} | ({"m2"} & set(got))
+    assert {i for i, (_, how) in got.items() if how == "carried"} >= {f"n{k}" for k in range(1, 5)} | {f"f{k}" for k in range(1, 7)}
+
+
+def test_link_recall_against_brute_force(spark):
+    rng = np.random.default_rng(6)
+    base = [[f"w{rng.integers(5000)}" for _ in range(60)] for _ in range(12)]
+    texts = []
+    for b in base:
+        texts.append(b)
+        for _ in range(4):
+            t = list(b)
+            for _ in range(int(rng.integers(0, 3))):
+                t[int(rng.integers(len(t)))] = f"x{rng.integers(5000)}"
+            texts.append(t)
+    shingles = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    linked = {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])}
+    group = {i: min([a for a, b in linked if b == i] + [i]) for i in range(len(texts))}
+    df = RS.hashed(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "h bigint, norm string"))
+    found = {r[0] for r in RS.reached(df, spark.createDataFrame([(i * 5,) for i in range(12)], "h bigint")).collect()}
+    want = {i for i in group if group[i] % 5 == 0}
+    assert want <= found
