@@ -2,11 +2,13 @@
 
 Method: maximum-scoring subsequence. Every line gets the sum of weights of its words and of its layout (the marks a page's tags left
 in the text: bullets, separators, capitals, missing stops); article words weigh positive, page furniture negative. One linear scan
-finds the maximal-scoring runs of lines, which are the content; lines outside, and furniture that a run spans, are boilerplate.
+finds the contiguous regions of lines with the greatest total score, where every region costs `REGION`: a page's article may be
+parted by furniture, but a line leaves the region, or makes one of its own, only if that gains more than a region costs. With a
+single region the scan is the classic best run; pages here have teasers amid the article, which one run would keep.
 
 The weights are a logistic regression over hashed features, fitted on a bounded sample of pages (`SAMPLE_PAGES` of each kind, the
 least hashes of the ids) whose lines label themselves: lines repeated throughout a source and set apart from prose are furniture,
-as are other stories' titles; paragraphs, and short lines between two paragraphs of a feed's text, are article. Prefixes of
+as are other stories' titles; paragraphs, and short lines between two paragraphs and list entries of a feed's text, are article. Prefixes of
 both stand for lines that were cut.
 
 Defined results: NULL, empty and blank bodies give no rows; repeated rows of an id count once; pages that are nothing but a notice,
@@ -16,28 +18,32 @@ and lines of residue, are not page furniture; pages of any length are scanned wh
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, cut
+from .codes import BLANK, DENSE, DIGIT, LETTER, MARK, STOP, TRAIL, UPPER, characters, joined, mixed, word_hashes
 from .repeated_lines import heavy_lines, line_keys
-from .residue import NOTICES, SLOTS
+from .residue import FILLER, NOTICES, SLOTS
 
 #: Pages of each kind, and titles, that the weights are learned from; size of the weight table.
 SAMPLE_PAGES, SAMPLE_TITLES, TABLE = 3_000, 8_000, 1 << 17
-#: Line scores are kept within +-CLIP; a line below STRONG is boilerplate wherever it stands.
-CLIP, STRONG = 4.0, -1.0
+#: Marks of list entries, which in a feed's text are the article's own.
+LISTED = ("- ", "– ", "* ")
+#: What a region of content costs, in log-odds of a line.
+REGION = 2.0
+#: Characters that are scored at once.
+CHUNK = 1_000_000
 
 _STOP = re.compile(r"[.!?。！？…][\"'”’»«“」』)\]]*$")
 _INNER = re.compile(r"[^\W\d_]{2,}[.!?][\"”’»)]*\s+[\"“«„—–-]?\s?\w|[。！？]\S")
-_WORDS = re.compile(r"\w+(?:[’'&-]\w+)*|[^\w\s]")
-_SEPS = re.compile(r"[|·•›»>/→]|\s{2,}")
-_SLOT, _NOTICE = re.compile("|".join(SLOTS)), re.compile("|".join(x for x in NOTICES))
+_SLOT, _NOTICE = re.compile("|".join((*SLOTS, *FILLER))), re.compile("|".join(x for x in NOTICES))
 
 
 def is_prose(line: str) -> bool:
@@ -45,39 +51,101 @@ def is_prose(line: str) -> bool:
     return len(line) + 2 * dense >= 60 and bool(_STOP.search(line) or _INNER.search(line))
 
 
-def features(line: str) -> list[int]:
-    """Hashed features of a line: words, word pairs and layout."""
-    s = line.strip()
-    letters = [c for c in s if c.isalpha()]
-    caps = bool(letters) and sum(c.isupper() for c in letters) >= 0.7 * len(letters) and any(c.islower() != c.isupper() for c in letters)
-    words = []
-    for k, w in enumerate(_WORDS.findall(s)[:400] if len(s) < 4000 else _WORDS.findall(s)):
-        if w[0].isdigit():
-            w = "9"
-        elif not caps and k and w[0].isupper():
-            w = "N"
-            if words and words[-1] == "N":
-                continue
-        words.append(w.lower() if w != "N" else w)
-    out = [f"u{w}" for w in words] + [f"b{a} {b}" for a, b in zip(["^", *words], [*words, "$"], strict=False)]
-    last, first = s[-1:], s[:1]
-    shape = lambda c: "a" if c.isalpha() else "9" if c.isdigit() else c
-    n, dense = len(s), sum("぀" <= c <= "鿿" for c in s)
-    out += [
-        f"e{shape(last)}", f"f{shape(first)}{first.isupper()}", f"l{(n + 2 * dense).bit_length()}", f"L{(n + 2 * dense) // 40 if n < 400 else 10}", f"c{caps}", f"s{min(4, len(_SEPS.findall(s)))}",
-        f"i{bool(_INNER.search(s))}{bool(_STOP.search(s))}", f"m{bool(re.search(r'[0-9]+ ?min$|^[0-9.]+[0-9.] ', s))}", "bias",
+class Lines(NamedTuple):
+    """The lines of some texts that are not blank, and their features: feature[k] is one of line of[k], each once."""
+
+    text: np.ndarray
+    number: np.ndarray
+    of: np.ndarray
+    feature: np.ndarray
+
+
+def features(texts: list[str]) -> Lines:
+    """Hashed features of every line: words, word pairs and layout, by passes over the code points of all texts."""
+    code, bounds = joined(texts)
+    kind = characters()[0][code]
+    place = np.arange(len(code))
+    blank = (kind & BLANK > 0) | (code == 0xA0) | (code == 0x3000) | (code == 0x200B)
+    stops = np.flatnonzero(code == 10)
+    a, b = np.concatenate([[0], stops[:-1] + 1]), stops
+    text = np.searchsorted(bounds, a, "right") - 1
+    first_line = np.searchsorted(a, bounds[:-1])
+    number = np.arange(len(a)) - first_line[text] + 1
+    after = np.minimum.accumulate(np.where(blank, len(code), place)[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(blank, -1, place))
+    a, b = after[a], before[np.maximum(b - 1, 0)] + 1
+    some = a < b
+    a, b, text, number = a[some], b[some], text[some], number[some]
+    if not len(a):
+        return Lines(text, number, np.array([], np.int64), np.array([], np.int64))
+
+    def between(flags: np.ndarray) -> np.ndarray:
+        c = np.concatenate([np.zeros(1, np.int32), np.cumsum(flags, dtype=np.int32)])
+        return c[b] - c[a]
+
+    lettered = kind & (LETTER | MARK) > 0
+    letters, upper = between(kind & LETTER > 0), between(kind & UPPER > 0)
+    caps = (letters > 0) & (upper >= 0.7 * letters)
+    # tokens: words, numbers, and every other sign by itself
+    cls = np.where(lettered, 1, np.where(kind & DIGIT > 0, 2, np.where(blank, 0, 3))).astype(np.int8)
+    new = np.concatenate([[True], (cls[1:] != cls[:-1]) | (cls[1:] == 3)])
+    edge = np.append(np.flatnonzero(new), len(code))
+    start, end = edge[:-1], edge[1:]
+    keep = cls[start] > 0
+    start, end = start[keep], end[keep]
+    line = np.searchsorted(a, start, "right") - 1
+    h = word_hashes(code, start, end)
+    h[cls[start] == 2] = np.uint64(0x9)
+    first = np.concatenate([[True], line[1:] != line[:-1]])
+    name = (cls[start] == 1) & (kind[start] & UPPER > 0) & ~caps[line] & ~first
+    h[name] = np.uint64(0x4E)
+    twice = np.concatenate([[False], name[1:] & name[:-1] & ~first[1:]])
+    h, line, start = h[~twice], line[~twice], start[~twice]
+    first = np.concatenate([[True], line[1:] != line[:-1]])
+    last = np.concatenate([line[1:] != line[:-1], [True]])
+    ahead = np.where(first, np.uint64(0x5E), np.concatenate([[np.uint64(0)], h[:-1]]))
+    pair = mixed(ahead * np.uint64(0x9E3779B97F4A7C15) + h)
+    closing = mixed(h[last] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x24))
+    # layout
+    n, dense = b - a, between(kind & DENSE > 0)
+    wide = n + 2 * dense
+    shape = lambda i: np.where(lettered[i], 97, np.where(kind[i] & DIGIT > 0, 57, code[i])).astype(np.int64)
+    signs = np.isin(code, [ord(c) for c in "|·•›»>/→"])
+    gaps = np.concatenate([[False], blank[1:] & blank[:-1]]) & ~np.concatenate([[False, False], blank[1:-1] & blank[:-2]])[: len(code)]
+    solid = np.maximum.accumulate(np.where(kind & TRAIL == 0, place, -1))[b - 1]
+    ends = (solid >= a) & (kind[np.maximum(solid, 0)] & STOP > 0)
+    written = np.maximum.accumulate(np.where(cls > 0, np.where(cls < 3, place, -1), -1))[b - 1]
+    stop = kind & STOP > 0
+    told = stop.copy()
+    told[2:] &= (kind[1:-1] & LETTER > 0) & (kind[:-2] & LETTER > 0)
+    told[:-1] &= kind[1:] & TRAIL > 0
+    told |= stop & (code >= 0x3000)
+    c = np.concatenate([np.zeros(1, np.int32), np.cumsum(told, dtype=np.int32)])
+    inner = (written > a) & (c[np.maximum(written, a)] - c[a] > 0)
+    layout = [
+        shape(b - 1), shape(a) * 2 + (kind[a] & UPPER > 0), np.floor(np.log2(wide)).astype(np.int64), np.minimum(wide // 40, 10), caps.astype(np.int64), np.minimum(between(signs | gaps), 4),
+        inner * 2 + ends, np.zeros(len(a), np.int64),
     ]
-    return [zlib.crc32(x.encode()) % TABLE for x in dict.fromkeys(out)]
+    at = np.arange(len(a))
+    key = np.concatenate([mixed(h + np.uint64(1)), pair, closing, *[mixed(x.astype(np.uint64) * np.uint64(64) + np.uint64(k + 2)) for k, x in enumerate(layout)]])
+    of = np.concatenate([line, line, line[last], *[at] * len(layout)])
+    one = np.unique(of.astype(np.int64) * TABLE + (key % np.uint64(TABLE)).astype(np.int64))
+    return Lines(text, number, one // TABLE, one % TABLE)
 
 
 def learn(rows: list[tuple[str, int, float]], epochs: int = 6, rate: float = 0.5, ridge: float = 1e-5) -> np.ndarray:
     """Weights from (line, 1 article or 0 furniture, weight): AdaGrad over small batches, in a fixed order."""
     w, g2 = np.zeros(TABLE), np.full(TABLE, 1e-2)
-    feats = [np.array(features(x[0])) for x in rows]
-    y, c = np.array([x[1] for x in rows], float), np.array([x[2] for x in rows])
+    feats, kept = [], []
+    # some thousand lines at a time: the driver holds their features, not the passes over their characters
+    for lo in range(0, len(rows), 2_000):
+        lines = features([x[0] for x in rows[lo : lo + 2_000]])
+        feats += [x.astype(np.int32) for x in np.split(lines.feature, np.searchsorted(lines.of, np.arange(1, len(lines.text))))] if len(lines.text) else []
+        kept += (lines.text + lo).tolist()
+    y, c = np.array([rows[k][1] for k in kept], float), np.array([rows[k][2] for k in kept])
     rng = np.random.default_rng(5)
     for _ in range(epochs):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(feats))
         for lo in range(0, len(order), 64):
             part = order[lo : lo + 64]
             idx = np.concatenate([feats[i] for i in part])
@@ -119,38 +187,36 @@ def labelled(pages: list[tuple[str, str, list[bool]]], titles: list[str]) -> lis
                 add(x, 1)
             elif kind != "newsroom" and between and not f and len(x) < 60:
                 add(x, 1, 3.0, cuts=False)
+            elif kind != "newsroom" and not f and i and x[:2] in LISTED:
+                add(x, 1, 3.0)
     for t in titles:
-        front, back = ("", "", "- ", "• ", "* ", "07.05. ")[int(rng.integers(6))], ("", "", "", " 4 min", " »")[int(rng.integers(5))]
+        front, back = ("", "", "• ", "» ", "07.05. ")[int(rng.integers(5))], ("", "", "", " 4 min", " »")[int(rng.integers(5))]
         add(front + t + back, 0)
     return rows
 
 
-def maximal_runs(scores: list[float]) -> list[tuple[int, int]]:
-    """All maximal-scoring runs [start, end) by one scan (Ruzzo and Tompa, 1999)."""
-    runs: list[list] = []  # start, end, sum before start, sum up to end
-    total = 0.0
-    for i, s in enumerate(scores):
-        if s > 0:
-            k = [i, i + 1, total, total + s]
-            while True:
-                j = next((j for j in range(len(runs) - 1, -1, -1) if runs[j][2] < k[2]), None)
-                if j is None or runs[j][3] >= k[3]:
-                    runs.append(k)
-                    break
-                k = [runs[j][0], k[1], runs[j][2], k[3]]
-                del runs[j:]
-        total += s
-    return [(a, b) for a, b, _, _ in runs]
-
-
-def content_lines(body: str, score) -> list[tuple[int, bool]]:
-    """(line number from 1, is content) of the lines of body that are not blank."""
-    lines = [(n, x.strip()) for n, x in enumerate(body.split("\n"), 1) if x.strip()]
-    scores = [score(x) for _, x in lines]
-    inside = np.zeros(len(lines), bool)
-    for a, b in maximal_runs(scores):
-        inside[a:b] = True
-    return [(n, bool(i and s > STRONG)) for (n, _), i, s in zip(lines, inside, scores, strict=True)]
+def regions(scores: list[float], cost: float = REGION) -> list[tuple[int, int]]:
+    """The disjoint regions [start, end) of the greatest total score, each at a cost, by one scan; the fewest and shortest on a tie."""
+    out_score, in_score = 0.0, float("-inf")
+    opened: list[bool] = []  # whether the best region that holds line i begins there
+    closed: list[bool] = []  # whether it is best to be outside of a region after line i because one has just ended
+    for s in scores:
+        fresh = out_score - cost
+        opened.append(fresh > in_score)
+        in_score = max(fresh, in_score) + s
+        closed.append(in_score > out_score)
+        out_score = max(out_score, in_score)
+    found, i = [], len(scores) - 1
+    while i >= 0:
+        if not closed[i]:
+            i -= 1
+            continue
+        end = i + 1
+        while not opened[i]:
+            i -= 1
+        found.append((i, end))
+        i -= 1
+    return found[::-1]
 
 
 def _least(rows: DataFrame, text: str, n: int) -> DataFrame:
@@ -174,38 +240,43 @@ def fit(items: DataFrame, sources: DataFrame) -> np.ndarray:
     return learn(examples) if examples else np.zeros(TABLE)
 
 
-def boilerplate_lines(items: DataFrame, sources: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
+def boilerplate_lines(items: DataFrame, sources: DataFrame, weights: np.ndarray | None = None, cost: float = REGION) -> DataFrame:
     """(id, line_no) of the non-blank lines of newsroom bodies that are not part of the article."""
     weights = fit(items, sources) if weights is None else weights
     shared = items.sparkSession.sparkContext.broadcast(weights)
     pages = sources.filter("kind = 'newsroom'").select("source").distinct()
-    rows = items.filter("id is not null and body is not null").select("id", "source", "body").join(pages, "source", "left_semi").select("id", "body")
+    rows = items.filter("id is not null and body is not null").select("id", "source", "body").join(F.broadcast(pages), "source", "left_semi").select("id", "body")  # configured sources
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
-        known: dict[str, float] = {}
-
-        def score(line: str) -> float:
-            s = known.get(line)
-            if s is None:
-                s = float(np.clip(w[features(line)].sum(), -CLIP, CLIP))
-                if len(line) < 160 and len(known) < 200_000:
-                    known[line] = s
-            return s
-
         for b in batches:
-            ids, nos = [], []
-            for i, body in zip(b["id"], b["body"], strict=True):
-                if len(body) <= 400 and _NOTICE.search(" ".join(body.lower().split())):
+            part = np.cumsum(np.asarray(pc.utf8_length(b.column("body")), np.int64)) // CHUNK
+            edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if hi <= lo:
                     continue
-                lines = body.split("\n")
-                bad = [n for n, ok in content_lines(body, score) if not ok and not _SLOT.search(lines[n - 1])]
-                ids += [i] * len(bad)
-                nos += bad
-            if ids:
-                yield pd.DataFrame({"id": ids, "line_no": nos})
-
-    return rows.mapInPandas(scan, "id string, line_no bigint").distinct()
+                bodies = b.column("body").slice(lo, hi - lo)
+                texts = bodies.to_pylist()
+                lines = features(texts)
+                scores = np.bincount(lines.of, w[lines.feature], len(lines.text))
+                inside = np.zeros(len(scores), bool)
+                cuts = np.searchsorted(lines.text, np.arange(len(texts) + 1))
+                for k in range(len(texts)):
+                    for s, e in regions(scores[cuts[k] : cuts[k + 1]].tolist(), cost):
+                        inside[cuts[k] + s : cuts[k] + e] = True
+                # residue is no furniture: bodies that are nothing but a notice, and lines that hold slots or filler
+                for k in np.flatnonzero(np.bincount(lines.text[~inside], minlength=len(texts)) == np.diff(cuts)):
+                    if _NOTICE.search(" ".join(texts[k].lower().split())):
+                        inside[cuts[k] : cuts[k + 1]] = True
+                for k in np.flatnonzero(pc.or_(pc.match_substring_regex(bodies, "|".join(SLOTS)), pc.match_substring_regex(bodies, FILLER[0]))):
+                    at = texts[k].split("\n")
+                    for i in range(cuts[k], cuts[k + 1]):
+                        inside[i] = inside[i] or bool(_SLOT.search(at[lines.number[i] - 1]))
+                bad = np.flatnonzero(~inside)
+                if len(bad):
+                    yield pa.RecordBatch.from_arrays([b.column("id").slice(lo, hi - lo).take(pa.array(lines.text[bad])), pa.array(lines.number[bad].astype(np.int64))], ["id", "line_no"])
+
+    return rows.mapInArrow(scan, "id string, line_no bigint").distinct()
 
 
 def main_text(items: DataFrame, sources: DataFrame) -> DataFrame:
