@@ -5,8 +5,8 @@ matrix, sampled suffix positions), searches the items' phrases backward through
 to sampled positions, and merges them into spans. Each candidate pair is then checked exactly by aligning the item with that
 stretch of the document.
 
-A leak is a stretch with at least `least` of the item's words in order, where at most `gap` words in a row are changed, missing or
-added. Words compare without case, accents, punctuation and spacing. Wording of more than `phrase` words that several items share
+A leak is a stretch with at least `least` of the item's words in order, SEED of them in a row somewhere, where at most `gap` words in a
+row are changed, missing or added. Words compare without case, accents, punctuation and spacing. Wording of more than `phrase` words that several items share
 does not count.
 
 Defined results: NULL and empty texts on either side give nothing; repeated rows of a document or item come out once; texts of any
@@ -25,15 +25,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words of a searched phrase; words of an index shard; rows between sampled suffix positions.
+#: Words of a searched phrase, which a stretch must hold unchanged; words of an index shard; rows between sampled suffix positions.
 SEED, SHARD_WORDS, SAMPLE = 4, 1_000_000, 8
 #: Items searched at once; their words are broadcast (some 100 words each).
 ITEM_BLOCK = 20_000
 #: Matched words that one changed, missing or added word costs: a stretch must be mostly the item's own words.
 EDIT_COST = 2
-#: A phrase that more items than this hold is no seed.
-MAX_SHARERS = 4
-
 
 def words_of(texts: pa.Array) -> pa.ListArray:
     """Lower-cased words without accents of each text."""
@@ -160,10 +157,10 @@ def plan_items(items: list[tuple[int, list[str]]], phrase: int) -> dict:
             if long[tuple(c[i : i + phrase + 1])] > 1:
                 m[i : i + phrase + 1] = True
         shared.append(m)
-    seeds = [(g, k) for g, ks in grams.items() if len(ks) <= MAX_SHARERS for k in ks]
+    owners = [np.array(sorted(ks), np.int64) for ks in grams.values()]
     return {
-        "words": list(vocab), "ids": [i for i, _ in items], "coded": coded, "shared": shared,
-        "phrases": np.array([g for g, _ in seeds], np.int64).reshape(-1, SEED), "owners": np.array([k for _, k in seeds], np.int64),
+        "words": list(vocab), "ids": [i for i, _ in items], "coded": coded, "shared": shared, "own": [np.unique(c[~m]) for c, m in zip(coded, shared, strict=True)],
+        "phrases": np.array(list(grams), np.int64).reshape(-1, SEED), "owners": np.concatenate(owners) if owners else np.array([], np.int64), "n_owners": np.array([len(o) for o in owners], np.int64),
     }
 
 
@@ -209,8 +206,13 @@ def _search(plan, least: int, gap: int, ident: str):
         lo, hi = fm.search(p["phrases"])
         found = np.flatnonzero(hi > lo)
         rows = np.concatenate([np.arange(lo[f], hi[f]) for f in found]) if len(found) else np.array([], np.int64)
-        owner = np.repeat(p["owners"][found], (hi - lo)[found])
+        phrase = np.repeat(found, (hi - lo)[found])
         pos = src[fm.locate(rows)] if len(rows) else rows
+        # every item that holds the phrase, at every place of it
+        n = p["n_owners"][phrase]
+        first = (np.cumsum(p["n_owners"]) - p["n_owners"])[phrase]
+        owner = p["owners"][np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(rows) else rows
+        pos = np.repeat(pos, n)
         out = defaultdict(list)
         order = np.lexsort((pos, owner))
         spans: dict[tuple[int, int], list[list[int]]] = defaultdict(list)
@@ -226,6 +228,11 @@ def _search(plan, least: int, gap: int, ident: str):
             best = (0, 0, 0)
             for a, b in each:
                 a, b = max(starts[d], a - room), min(starts[d + 1], b + room)
+                # its first `least` words can stand no further apart: edits cost EDIT_COST of the words matched before, shared words nothing
+                width = least + (least - 2) // EDIT_COST + int(p["shared"][k].sum())
+                held = np.concatenate([[0], np.cumsum(np.isin(codes[a:b], p["own"][k]))])
+                if (held[width:] - held[:-width] if len(held) > width else held[-1:]).max() < least:
+                    continue
                 n, s, e = stretch(p["coded"][k], p["shared"][k], codes[a:b], gap)
                 best = max(best, (n, int(a + s - starts[d]), int(a + e - starts[d])))
             if best[0] >= least and ids[d] is not None:
