@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,10 +13,6 @@ from . import html
 
 #: Characters kept of a body, and of a mail's subject.
 BODY_CHARS, SUBJECT_CHARS = 4000, 500
-# Parts of links that lead to no article, and parts that suggest one.
-SKIP_TOKENS = ("/tag/", "/category/", "/author/", "/login", "/signup", "/subscribe", "/privacy", "/terms", "/contact", "/about", "mailto:", "javascript:", "#")
-HINTS = ("/news/", "/press/", "/blog/", "/article/", "/story/", "/releases/", "/20")
-
 
 def _per_row(fn, returns):
     @F.pandas_udf(returns)
@@ -63,29 +61,33 @@ def mail_links(mails: DataFrame, shortest: int = 20, longest: int = 250) -> Data
     return e.withColumn("n", F.row_number().over(Window.partitionBy("mail_id", "url").orderBy("pos"))).filter("n = 1").drop("n")
 
 
-def page_links(pages: DataFrame, shortest: int = 20, longest: int = 350, top: int = 14) -> DataFrame:
+def page_links(pages: DataFrame, skip: Sequence[str] = (), hints: Sequence[str] = (), shortest: int = 20, longest: int = 350, top: int = 14) -> DataFrame:
     """(source, url, title, place) of index pages (source, base, html): links of the same apex that look like articles, the top by hint,
-    depth, text and url, all descending."""
+    depth, text and url, all descending.
+
+    skip: parts of an href that lead to no article; hints: parts of a URL that suggest one. Both are the caller's configuration, made
+    for the pages at hand.
+    """
     from urllib.parse import urljoin
 
     found = _per_row(lambda h, b: [{"href": a, "url": urljoin(b, a), "text": t} for a, t in html.anchors(h)], "array<struct<href:string,url:string,text:string>>")
     e = pages.select("source", "base", F.explode(found("html", "base")).alias("a")).select("source", "base", F.lower("a.href").alias("href"), F.rtrim(without_query(F.col("a.url")), F.lit("/")).alias("url"), F.trim("a.text").alias("title"))
-    skip = F.lit(False)
-    for t in SKIP_TOKENS:
-        skip = skip | F.contains("href", F.lit(t))
+    skipped = F.lit(False)
+    for t in skip:
+        skipped = skipped | F.contains("href", F.lit(t.lower()))
     path = F.regexp_extract("url", r"^[a-z]+://[^/]*(/.*)?$", 1)
-    e = e.filter(~skip & F.length("title").between(shortest, longest) & (apex(F.col("url")) == apex(F.col("base"))) & (path != "") & (F.col("url") != F.rtrim(F.col("base"), F.lit("/"))) & (host(F.col("url")) != ""))
+    e = e.filter(~skipped & F.length("title").between(shortest, longest) & (apex(F.col("url")) == apex(F.col("base"))) & (path != "") & (F.col("url") != F.rtrim(F.col("base"), F.lit("/"))) & (host(F.col("url")) != ""))
     one = e.groupBy("source", "url").agg(F.max("title").alias("title"))
     hint = F.lit(False)
-    for h in HINTS:
-        hint = hint | F.contains(F.lower("url"), F.lit(h))
+    for h in hints:
+        hint = hint | F.contains(F.lower("url"), F.lit(h.lower()))
     w = Window.partitionBy("source").orderBy(F.desc(hint), F.desc(slash_depth(F.col("url"))), F.desc("title"), F.desc("url"))
     return one.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= top)
 
 
-def state_links(pages: DataFrame) -> DataFrame:
-    """(source, url, title) from the pages' embedded JSON state."""
-    found = _per_row(lambda h, b: [{"url": u, "title": t} for u, t in html.state_links(h, b)], "array<struct<url:string,title:string>>")
+def state_links(pages: DataFrame, titles: Sequence[str] = ("title",), urls: Sequence[str] = ("url",)) -> DataFrame:
+    """(source, url, title) from the pages' embedded JSON state; titles and urls are the keys that the pages use, first match first."""
+    found = _per_row(lambda h, b: [{"url": u, "title": t} for u, t in html.state_links(h, b, tuple(titles), tuple(urls))], "array<struct<url:string,title:string>>")
     return pages.select("source", F.explode(found("html", "base")).alias("a")).select("source", "a.url", "a.title").distinct()
 
 
@@ -96,7 +98,8 @@ def unknown_links(links: DataFrame, items: DataFrame, per_source: int = 6) -> Da
     return new.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= per_source).drop("n")
 
 
-def article_items(articles: DataFrame, now: str) -> DataFrame:
-    """Item rows of fetched articles (source, url, title, html)."""
-    body = _per_row(html.article_body, "string")
+def article_items(articles: DataFrame, now: str, blocks: Sequence[str] = ()) -> DataFrame:
+    """Item rows of fetched articles (source, url, title, html); blocks: where the pages at hand keep their article, as in
+    html.article_body."""
+    body = _per_row(lambda h: html.article_body(h, tuple(blocks)), "string")
     return _rows(articles.select("source", "title", "url", body("html").alias("body"), F.lit(now).alias("ts")), now)
