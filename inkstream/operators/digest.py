@@ -24,13 +24,13 @@ def two_lane_edges(items: DataFrame, augmented: float = 0.20, title: float = 0.4
     return lane(F.col("text"), augmented).unionByName(lane(F.col("title"), title)).distinct()
 
 
-def relevance(docs: DataFrame, heads: DataFrame, aspects: DataFrame, dense: DataFrame | None = None, profile: str | None = None) -> DataFrame:
-    """(cluster, relevance), min-maxed. With aspects (query_id, text): fused ranks of the medoids over aspects and lanes; dense is
+def relevance(docs: DataFrame, heads: DataFrame, aspects: DataFrame, dense: DataFrame | None = None, profile: str | None = None, scores: DataFrame | None = None) -> DataFrame:
+    """(cluster, relevance), min-maxed; scores, if given, are the aspects' BM25 scores (query_id, id, score). With aspects (query_id, text): fused ranks of the medoids over aspects and lanes; dense is
     (query_id, id, score). Without: BM25 of the medoids against the profile text. heads: (cluster, id)."""
     spark = docs.sparkSession
     queries = aspects if profile is None else spark.createDataFrame([(0, profile)], "query_id int, text string")
     ids = heads.select("id")
-    lexical = R.bm25(docs, queries).join(ids, "id", "left_semi")
+    lexical = (R.bm25(docs, queries) if scores is None or profile is not None else scores).join(ids, "id", "left_semi")
     if profile is not None:
         raw = lexical.groupBy("id").agg(F.max("score").alias("x"))
     else:
@@ -57,18 +57,20 @@ def score_clusters(items: DataFrame, clusters: DataFrame, vectors: DataFrame, en
     match = cut(BK.match_topics(head_vectors, topics))
     longest = items.join(clusters, "id").groupBy("cluster").agg(F.max_by(F.struct("id", "text"), F.struct(F.length("text"), "id")).alias("d")).select("cluster", F.col("d.id").alias("id"), F.col("d.text").alias("text"))
     cohesion = longest.select("cluster", "id").join(SN.cohesion(longest.select("id", "text")), "id").select("cluster", "cohesion")
-    per_aspect = R.bm25(docs, aspects).join(heads, "id").select("cluster", F.col("query_id").alias("aspect"), "score")
-    debt = coverage_debt(ledger).withColumn("aspect", F.col("aspect").try_cast("bigint"))
-    shut = R.bm25(docs, exclusions).join(heads, "id").select("cluster", "score")
+    # aspects and exclusions are asked in one pass over the documents
+    asked = aspects.select(F.struct(F.lit("a").alias("kind"), F.col("query_id").cast("string").alias("name")).alias("query_id"), "text").unionByName(exclusions.select(F.struct(F.lit("x").alias("kind"), F.col("query_id").cast("string").alias("name")).alias("query_id"), "text"))
+    scores = cut(R.bm25(docs, asked).join(heads, "id").select("cluster", "id", "query_id.kind", F.col("query_id.name").alias("aspect"), "score"))
+    per_aspect, shut = scores.filter("kind = 'a'").select("cluster", "id", "aspect", "score"), scores.filter("kind = 'x'").select("cluster", "score")
+    debt = coverage_debt(ledger).withColumn("aspect", F.col("aspect").cast("string"))
     parts = [
         S.coverage(clusters.groupBy("cluster").agg(F.count("*").alias("n"))),
         S.source_signals(members, sources),
         BK.novelty(match, bank, week),
-        relevance(docs, heads, aspects),
+        relevance(docs, heads, aspects, scores=per_aspect.select(F.col("aspect").alias("query_id"), "id", "score")),
         S.entity_signal(counts, idf, other, key_entities),
         S.trend(counts, E.velocity(total, hist)),
         S.richness(entities.join(clusters, "id").select("cluster", "id", "entity", "label"), idf, other, cohesion),
-        S.coverage_gap(per_aspect, debt),
+        S.coverage_gap(per_aspect.select("cluster", "aspect", "score"), debt),
         S.exclusion(shut),
         S.persistence(match.select("cluster", "topic_id"), bank, week),
         S.recency(ages.join(clusters, "id").select("cluster", "age_days")),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import norm
+from ..session import broadcast_if_small, cut
 
 K1, B, EPSILON, RRF_K = 1.5, 0.75, 0.25, 60
 
@@ -18,18 +19,18 @@ def bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, id, score) of docs (id, text) that share a word with queries (query_id, text); all others score 0.
 
     Okapi with k1 1.5 and b 0.75; negative idf is replaced by 0.25 times the mean idf; a query's repeated words count repeatedly.
-    The queries should be few: their words are joined to the documents' postings, and only those words' postings travel.
+    Of the documents' words only the distinct ones travel, for their counts, and the asked ones, for their frequencies.
     """
     tokens = docs.select("id", _words(F.col("text")).alias("w"))
-    lengths = tokens.select("id", F.size("w").alias("dl"))
-    corpus = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    tf = tokens.select("id", F.size("w").alias("dl"), F.explode("w").alias("term")).groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(corpus))
+    corpus = tokens.agg(F.count("*").alias("n"), F.avg(F.size("w")).alias("avgdl"))
+    df = tokens.select(F.explode(F.array_distinct("w")).alias("term")).groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(corpus))
     df = df.withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     mean = df.agg(F.avg("raw").alias("mean"))
-    idf = df.crossJoin(F.broadcast(mean)).select("term", "avgdl", F.when(F.col("raw") < 0, EPSILON * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
-    asked = queries.select("query_id", F.explode(_words(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qf"))
-    hit = tf.join(asked, "term").join(idf, "term")
+    asked = cut(queries.select("query_id", F.explode(_words(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qf")))
+    terms = broadcast_if_small(asked.select("term").distinct())
+    idf = df.join(terms, "term", "left_semi").crossJoin(F.broadcast(mean)).select("term", "avgdl", F.when(F.col("raw") < 0, EPSILON * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
+    tf = tokens.select("id", F.size("w").alias("dl"), F.explode("w").alias("term")).join(terms, "term", "left_semi").groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
+    hit = tf.join(broadcast_if_small(cut(idf)), "term").join(broadcast_if_small(asked), "term")
     part = F.col("qf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     return hit.groupBy("query_id", "id").agg(F.sum(part).alias("score"))
 
@@ -44,8 +45,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def dense_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, id, score): cosine of embeddings; queries (query_id, q) are a stated set, met by all docs (id, e) in one pass."""
-    return docs.crossJoin(F.broadcast(queries)).select("query_id", "id", cosine(F.col("e"), F.col("q")).alias("score"))
+    """(query_id, id, score): cosine of embeddings; queries (query_id, q) are a stated set, met by all docs (id, e) block by block."""
+    return docs.crossJoin(broadcast_if_small(queries, 20_000)).select("query_id", "id", cosine(F.col("e"), F.col("q")).alias("score"))
 
 
 def ranked(scores: DataFrame, top: int | None = None) -> DataFrame:
