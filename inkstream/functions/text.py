@@ -82,3 +82,10 @@ def sentences(text: Column) -> Column:
 def json_object(text: Column, schema: str) -> Column:
     """The outermost {...} of a reply, parsed; NULL where there is none or it does not parse."""
     return F.from_json(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit("")), schema)
+
+
+def labelled_objects(text: Column) -> Column:
+    """array<struct<label, descriptor>> of a reply's outermost {...} that maps labels to descriptors; entries that lack one are dropped."""
+    found = F.coalesce(json_object(text, "map<string,string>"), F.create_map().cast("map<string,string>"))
+    each = F.transform(F.map_entries(found), lambda e: F.struct(F.trim(e["key"]).alias("label"), F.trim(e["value"]).alias("descriptor")))
+    return F.filter(each, lambda e: (e["label"] != "") & (F.coalesce(e["descriptor"], F.lit("")) != ""))

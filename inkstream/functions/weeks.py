@@ -41,8 +41,17 @@ def is_first_sunday(t: Column) -> Column:
     return (F.dayofweek(t) == 1) & (F.dayofmonth(t) <= 7)
 
 
+# Zone names of RFC 822 with their hours from UTC. Other names, and none, count as UTC.
+RFC822_ZONES = {"UT": 0, "UTC": 0, "GMT": 0, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}
+RFC822 = r"^\s*(?:[A-Za-z]{3},\s*)?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{2}:\d{2})(:\d{2})?(?: ([+-]\d{4}|[A-Za-z]{1,5}))?\s*$"
+
+
 def rfc822_age_days(ts: Column, now: Column) -> Column:
     """Days since an RFC 822 time, at least 0; NULL where it does not parse."""
-    bare = F.regexp_replace(F.trim(ts), r"^\w{3},\s*", "")
-    t = F.coalesce(F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss Z")), F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss z")), F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss")))
-    return F.when(t.isNotNull(), F.greatest(F.lit(0.0), (F.unix_micros(now) - F.unix_micros(t)) / 86_400_000_000))
+    part = lambda k: F.regexp_extract(ts, RFC822, k)
+    seconds = F.when(part(5) == "", ":00").otherwise(part(5))
+    t = F.try_to_timestamp(F.concat(part(1), F.lit(" "), F.initcap(part(2)), F.lit(" "), part(3), F.lit(" "), part(4), seconds, F.lit(" +0000")), F.lit("d MMM yyyy HH:mm:ss Z"))
+    zone = F.upper(part(6))
+    hours = F.coalesce(F.create_map(*[F.lit(x) for kv in RFC822_ZONES.items() for x in kv])[zone], F.lit(0))
+    minutes = F.when(zone.rlike(r"^[+-]"), F.concat(F.substring(zone, 1, 1), F.lit("1")).try_cast("int") * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int"))).otherwise(hours * 60)
+    return F.when(ts.rlike(RFC822) & t.isNotNull(), F.greatest(F.lit(0.0), (F.unix_micros(now) - F.unix_micros(t) + minutes.cast("bigint") * 60_000_000) / 86_400_000_000))

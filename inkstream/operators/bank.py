@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.weeks import weeks_between
+from .ranking import numbered
 
 ALPHA, MATCH, DECAY, MASS_FLOOR, STALE_WEEKS, TOP_TERMS, DORMANT = 0.7, 0.3, 0.8, 0.05, 12, 200, 4
 
@@ -73,7 +74,8 @@ def commit(bank: DataFrame, matches: DataFrame, week: str, threshold: float = MA
         "topic_id", (F.col("mass") + F.coalesce("n", F.lit(0))).alias("mass"), "first_week", F.when(F.col("n") > 0, week).otherwise(F.col("last_week")).alias("last_week"), (F.col("weeks_seen") + F.coalesce("n", F.lit(0))).alias("weeks_seen")
     )
     top = bank.agg(F.coalesce(F.max("topic_id"), F.lit(0)).alias("top"))
-    fresh = matches.join(hit.select("cluster"), "cluster", "left_anti").withColumn("n", F.row_number().over(Window.orderBy("place")))  # one digest's clusters
+    fresh = matches.join(hit.select("cluster"), "cluster", "left_anti")
+    fresh = numbered(fresh, [F.col("place"), F.col("cluster")], "n")
     fresh = fresh.crossJoin(F.broadcast(top)).select("cluster", (F.col("top") + F.col("n")).alias("topic_id"))
     spawned = fresh.select("topic_id", F.lit(1.0).alias("mass"), F.lit(week).alias("first_week"), F.lit(week).alias("last_week"), F.lit(1).cast("bigint").alias("weeks_seen"))
     return kept.unionByName(spawned), hit.select("cluster", "topic_id").unionByName(fresh)

@@ -9,18 +9,18 @@ from ..session import cut
 from .graph import components
 
 
-def average_linkage(ids: DataFrame, sims: DataFrame, min_sim: float = 0.2, rounds: int = 200) -> DataFrame:
+def average_linkage(ids: DataFrame, sims: DataFrame, min_sim: float = 0.2) -> DataFrame:
     """(id, cluster): exact average linkage cut where the mean similarity of two clusters falls below min_sim.
 
     ids: (id); sims: (a, b, sim), a < b, every pair of positive similarity that may count; absent pairs are 0. Clusters that are
     each other's nearest neighbours merge in every round, which for average linkage gives the same tree as merging one pair at a
     time. Cluster pairs carry the sum of their similarities, so a merge adds sums; no matrix is ever built. Nearest ties go to the
-    lesser pair. A cluster is named by its least id; documents without neighbours are clusters of their own.
+    pair of the greater hash, in one order for all, so that chains of ties merge in few rounds. A cluster is named by its least id; documents without neighbours are clusters of their own.
     """
     of = cut(ids.select("id", F.col("id").alias("cluster")).distinct())
     pairs = cut(sims.filter("sim > 0").select("a", "b", F.col("sim").alias("s")))
     size = cut(of.groupBy("cluster").agg(F.count("*").alias("n")))
-    for _ in range(rounds):
+    while True:  # every round merges a pair or ends
         mean = pairs.join(size.select(F.col("cluster").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("cluster").alias("b"), F.col("n").alias("nb")), "b")
         mean = mean.withColumn("m", F.round(F.col("s") / (F.col("na") * F.col("nb")), 12)).filter(F.col("m") >= min_sim)
         both = mean.select("a", "b", "m").unionByName(mean.select(F.col("b").alias("a"), F.col("a").alias("b"), "m"))

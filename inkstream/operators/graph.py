@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): component is the least node of each connected part; nodes without edges do not appear.
 
     Alternates large-star and small-star steps, which settle in a number of rounds that grows with the logarithm of the parts' size
@@ -16,7 +16,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v").distinct()
     e = cut(e)
-    for _ in range(rounds):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: every neighbour above u goes to the least of u and its neighbours
         m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

@@ -50,14 +50,14 @@ def mmr_order(candidates: DataFrame, lam: float = 0.65, k: int | None = None) ->
 
 
 def knee(ordered: DataFrame, least: int = 8, most: int = 40) -> DataFrame:
-    """One row (cut): after which place the scores of an ordered list fall most, smoothed by 1/4, 1/2, 1/4, within [least, most] and
-    the list's length. The list is one digest's: a window over all of it is a few rows."""
-    w = Window.orderBy("place")
-    d = ordered.withColumn("drop", F.col("score") - F.lead("score").over(w)).filter("drop is not null")
+    """One row (cut): after which place the scores of an ordered list (place from 1, score) fall most, smoothed by 1/4, 1/2, 1/4, within
+    [least, most] and the list's length. Neighbours meet by a join on their places, so the list may be of any length."""
+    at = lambda df, shift, value, name: df.select((F.col("place") + shift).alias("place"), F.col(value).alias(name))
+    d = ordered.select("place", "score").join(at(ordered, -1, "score", "__next"), "place").select("place", (F.col("score") - F.col("__next")).alias("drop"))
     n = d.agg(F.count("*").alias("n"))
-    smooth = F.coalesce(F.lag("drop").over(w), F.lit(0.0)) * 0.25 + F.col("drop") * 0.5 + F.coalesce(F.lead("drop").over(w), F.lit(0.0)) * 0.25
-    s = d.withColumn("smooth", smooth).crossJoin(F.broadcast(n)).withColumn("v", F.round(F.when(F.col("n") >= 3, F.col("smooth")).otherwise(F.col("drop")), 12))
-    best = s.agg(F.max_by("place", F.struct("v", -F.col("place"))).alias("at"))
+    s = d.join(at(d, 1, "drop", "__before"), "place", "left").join(at(d, -1, "drop", "__after"), "place", "left").crossJoin(F.broadcast(n))
+    smooth = F.coalesce("__before", F.lit(0.0)) * 0.25 + F.col("drop") * 0.5 + F.coalesce("__after", F.lit(0.0)) * 0.25
+    best = s.withColumn("v", F.round(F.when(F.col("n") >= 3, smooth).otherwise(F.col("drop")), 12)).agg(F.max_by("place", F.struct("v", -F.col("place"))).alias("at"))
     total = ordered.agg(F.count("*").alias("total"))
     return best.crossJoin(total).select(F.least(F.greatest(F.coalesce("at", F.lit(0)), F.lit(least)), F.lit(most), F.col("total")).cast("bigint").alias("cut"))
 

@@ -1,11 +1,11 @@
-"""A directory of Parquet tables: keyed writes, windows, export, lock."""
+"""A directory of Parquet tables on any file system: keyed writes, windows, export, lock."""
 
 from __future__ import annotations
 
-import json
 import os
 import time
 from contextlib import contextmanager
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -62,6 +62,13 @@ def fresh_or_none(cache: DataFrame, profile_hash: str) -> DataFrame:
     return cache.crossJoin(F.broadcast(state.filter("n > 0 and stale = 0").select())).select(*cache.columns)  # one row or none
 
 
+def refreshed(cache: DataFrame, derived: DataFrame, profile_hash: str) -> DataFrame:
+    """The cache as it is if fresh_or_none keeps it, else the newly derived rows (without profile_hash) alone, under the current hash."""
+    kept = fresh_or_none(cache, profile_hash)
+    none = kept.agg(F.count("*").alias("n")).filter("n = 0").select()
+    return kept.unionByName(derived.withColumn("profile_hash", F.lit(profile_hash)).crossJoin(F.broadcast(none)), allowMissingColumns=True)
+
+
 def migrate(df: DataFrame, schema: str) -> DataFrame:
     """df with the columns of schema that it lacks, as NULL, and in the schema's order; other columns are kept behind."""
     empty = df.sparkSession.createDataFrame([], schema)
@@ -75,25 +82,48 @@ def rolling_window(items: DataFrame, instants: DataFrame, now_ms: int, days: int
     return items.join(recent, "id", "left_semi")
 
 
+def _on(spark: SparkSession, path: str):
+    """(file system, path): a path on whatever file system Hadoop knows."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """A small text file; with overwrite=False an error if it is there."""
+    fs, p = _on(spark, path)
+    out = fs.create(p, overwrite)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def _versions(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Names of a table's marks, oldest first: an empty file for each whole version, named by its number and its folder."""
+    fs, p = _on(spark, f"{root}/{name}/_versions")
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored table, or an empty one of its schema; columns added later come out as NULL."""
-    path = f"{root}/{name}"
-    if not os.path.exists(path):
+    """A stored table's latest version, or an empty one of its schema; columns added later come out as NULL."""
+    marks = _versions(spark, root, name)
+    if not marks:
         return spark.createDataFrame([], SCHEMAS[name])
-    return migrate(spark.read.option("mergeSchema", True).parquet(path), SCHEMAS[name])
+    return migrate(spark.read.option("mergeSchema", True).parquet(f"{root}/{name}/{marks[-1].split('-', 1)[1]}"), SCHEMAS[name])
 
 
 def swap(df: DataFrame, root: str, name: str) -> None:
-    """Write a table beside the stored one, then put it in its place."""
-    path, new, old = f"{root}/{name}", f"{root}/.{name}.new", f"{root}/.{name}.old"
-    df.write.mode("overwrite").parquet(new)
-    if os.path.exists(path):
-        os.rename(path, old)
-    os.rename(new, path)
-    if os.path.exists(old):
-        import shutil
-
-        shutil.rmtree(old)
+    """Write a table as a new version, then mark it: creating the mark is one step on every file system, so that a reader finds the
+    former version or the new one. The version before stays for those who read it; older ones are removed."""
+    spark, folder = df.sparkSession, f"data_{uuid4().hex}"
+    df.write.parquet(f"{root}/{name}/{folder}")
+    marks = _versions(spark, root, name)
+    number = int(marks[-1].split("-", 1)[0]) + 1 if marks else 1
+    write_text(spark, f"{root}/{name}/_versions/{number:012d}-{folder}", "", overwrite=False)
+    for old in marks[:-1]:
+        for gone in (f"{root}/{name}/_versions/{old}", f"{root}/{name}/{old.split('-', 1)[1]}"):
+            fs, p = _on(spark, gone)
+            fs.delete(p, True)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -106,21 +136,17 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 @contextmanager
-def pipeline_lock(path: str, ttl: float = 1800.0):
-    """Exclusive lock file: refused while younger than ttl seconds, else taken over; released whatever happens."""
-    try:
-        age = time.time() - json.load(open(path))["at"] if os.path.exists(path) else None
-    except (ValueError, KeyError, OSError):
-        age = ttl
-    if age is not None and age < ttl:
-        raise RuntimeError(f"locked {age:.0f} s ago: {path}")
-    if age is not None:
-        os.remove(path)
-    fd = os.open(path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
-    with os.fdopen(fd, "w") as f:
-        json.dump({"at": time.time(), "pid": os.getpid()}, f)
+def pipeline_lock(spark: SparkSession, path: str, ttl: float = 1800.0):
+    """Exclusive lock file: refused while younger than ttl seconds, else taken over; released whatever happens. Whoever creates the
+    file holds the lock, so of two that come at once one gets an error."""
+    fs, p = _on(spark, path)
+    if fs.exists(p):
+        age = time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+        if age < ttl:
+            raise RuntimeError(f"locked {age:.0f} s ago: {path}")
+        fs.delete(p, False)
+    write_text(spark, path, str(os.getpid()), overwrite=False)
     try:
         yield
     finally:
-        if os.path.exists(path):
-            os.remove(path)
+        fs.delete(p, False)

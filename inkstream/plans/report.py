@@ -6,17 +6,19 @@ import html
 import json
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import longitudinal as L
+from ..operators.ranking import numbered
+from ..operators.store import write_text
 
 
 def number_clusters(clusters: DataFrame, sectors: DataFrame, categories: DataFrame) -> DataFrame:
-    """(label, cluster, ...): C1..Cn by sector order, category order, score descending, id. One digest's clusters: a few dozen rows."""
+    """(label, cluster, ...): C1..Cn by sector order, category order, score descending, id."""
     j = clusters.join(sectors.select("sector", F.col("ord").alias("__s")), "sector", "left").join(categories.select("category", F.col("ord").alias("__c")), "category", "left")
-    w = Window.orderBy(F.col("__s").asc_nulls_last(), F.col("__c").asc_nulls_last(), F.desc("score"), "cluster")
-    return j.withColumn("no", F.row_number().over(w)).withColumn("label", F.concat(F.lit("C"), F.col("no").cast("string"))).drop("__s", "__c")
+    order = [F.col("__s").asc_nulls_last(), F.col("__c").asc_nulls_last(), F.desc("score"), F.col("cluster")]
+    return numbered(j, order, "no").withColumn("label", F.concat(F.lit("C"), F.col("no").cast("string"))).drop("__s", "__c")
 
 
 def cluster_blocks(numbered: DataFrame, items: DataFrame, head: int = 5) -> DataFrame:
@@ -44,6 +46,11 @@ def picks(lines: DataFrame, doc: str, no: str, text: str) -> DataFrame:
     return p.withColumn("__n", F.row_number().over(Window.partitionBy(doc, "label").orderBy(no))).filter("__n = 1").drop("__n")
 
 
+def picked_clusters(picked: DataFrame, numbered_clusters: DataFrame) -> DataFrame:
+    """Picks (label, ...) with their clusters (label, cluster): labels that no cluster has drop out."""
+    return picked.join(numbered_clusters.select("label", "cluster"), "label")
+
+
 def sections(lines: DataFrame, doc: str, no: str, text: str) -> DataFrame:
     """(doc, section, title, n_lines): text parted at ## lines; what stands before the first has a NULL title."""
     head = F.col(text).rlike(r"^##\s*[^#]")
@@ -118,15 +125,11 @@ def digest_html(week: str, picked: list[dict]) -> str:
     return "".join(out)
 
 
-def write_page(text: str, folder: str, week: str) -> list[str]:
-    """The page as latest and under its week."""
-    import os
-
-    os.makedirs(folder, exist_ok=True)
+def write_page(spark: SparkSession, text: str, folder: str, week: str) -> list[str]:
+    """The page as latest and under its week, on any file system."""
     names = [f"{folder}/latest.html", f"{folder}/{week}.html"]
     for n in names:
-        with open(n, "w", encoding="utf-8") as f:
-            f.write(text)
+        write_text(spark, n, text)
     return names
 
 

@@ -5,9 +5,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from inkstream.functions import text as X
 from inkstream.operators import bank as BK
 from inkstream.operators import cluster as C
+from inkstream.operators import entities as E
+from inkstream.operators import graph as G
 from inkstream.operators import longitudinal as L
+from inkstream.operators import ranking as RK
 from inkstream.operators import retrieve as R
 from inkstream.operators import selection as SE
 from inkstream.operators import signals as S
@@ -17,6 +21,7 @@ from inkstream.operators import weights as WT
 from inkstream.operators.graph import components
 from inkstream.operators.instants import noncanonical_instants
 from inkstream.operators.ranking import average_ranks
+from inkstream.plans import report as RP
 from inkstream.session import cut
 
 
@@ -46,14 +51,93 @@ def test_store_and_lock(spark, tmp_path):
     for n in (1, 2):
         ST.swap(spark.createDataFrame([(n, 1.0)], "topic_id bigint, mass double"), root, "topic_bank")
     assert [r["topic_id"] for r in ST.read(spark, root, "topic_bank").collect()] == [2]
+    held = ST.read(spark, root, "topic_bank")  # a reader of the version before
+    ST.swap(spark.createDataFrame([(3, 1.0)], "topic_id bigint, mass double"), root, "topic_bank")
+    assert [r["topic_id"] for r in held.collect()] == [2] and [r["topic_id"] for r in ST.read(spark, root, "topic_bank").collect()] == [3]
+    ST.swap(ST.read(spark, root, "topic_bank"), root, "topic_bank")  # from the table itself
+    assert ST.read(spark, root, "topic_bank").count() == 1 and len(list((tmp_path / "topic_bank").glob("data_*"))) == 2
     lock = str(tmp_path / "lock")
-    with ST.pipeline_lock(lock):
-        with pytest.raises(RuntimeError), ST.pipeline_lock(lock):
+    with ST.pipeline_lock(spark, lock):
+        with pytest.raises(RuntimeError), ST.pipeline_lock(spark, lock):
             pass
-    with ST.pipeline_lock(lock):
+        with ST.pipeline_lock(spark, lock, ttl=-1):  # taken over when too old
+            pass
+    with ST.pipeline_lock(spark, lock):
         pass
 
 
+def test_exports(spark, tmp_path):
+    df = spark.createDataFrame([("a", 'x "y"\nz', None), ("é", "", 1)], "id string, t string, n int")
+    ST.write_csv(df, str(tmp_path / "c"))
+    back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path / "c"))
+    assert {r["id"]: r["t"] for r in back.collect()}["a"] == 'x "y"\nz'
+    ST.write_json(df, str(tmp_path / "j"))
+    assert any("é" in x.read_text() for x in (tmp_path / "j").glob("*.json")) and spark.read.json(str(tmp_path / "j")).count() == 2
+
+
+def test_numbered_over_partitions(spark):
+    df = spark.range(1000, numPartitions=7).selectExpr("(id * 37) % 1000 AS x", "'n' AS n0")
+    got = {r["x"]: r["no"] for r in RK.numbered(df, [F.desc("x")], "no").collect()}
+    assert got == {x: 1000 - x for x in range(1000)}
+    assert RK.numbered(df.limit(0), [F.col("x")], "no").count() == 0
+
+
+@pytest.mark.parametrize("scores", [[], [1.0], [5.0, 4.0], [9.0, 8.9, 2.0, 1.9, 1.8], [float(50 - i - 10 * (i > 20)) for i in range(45)]])
+def test_knee_against_loop(spark, scores):
+    d = [a - b for a, b in zip(scores, scores[1:], strict=False)]
+    v = [round(0.25 * (d[i - 1] if i else 0) + 0.5 * x + 0.25 * (d[i + 1] if i + 1 < len(d) else 0), 12) for i, x in enumerate(d)] if len(d) >= 3 else d
+    at = v.index(max(v)) + 1 if v else 0
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(scores, 1)], "place bigint, score double")
+    assert SE.knee(df).collect()[0]["cut"] == min(max(at, 8), 40, len(scores))
+
+
+def test_refreshed_cache(spark):
+    cache = spark.createDataFrame([("a", "d", "h1")], "aspect string, descriptor string, profile_hash string")
+    new = spark.createDataFrame([("b", "e")], "aspect string, descriptor string")
+    assert [r["aspect"] for r in ST.refreshed(cache, new, "h1").collect()] == ["a"] and [(r["aspect"], r["profile_hash"]) for r in ST.refreshed(cache, new, "h2").collect()] == [("b", "h2")]
+    assert ST.refreshed(cache.limit(0), new, "h1").count() == 1
+
+
+def test_reports_are_written(spark, tmp_path):
+    lines = [{"sector": "a & b", "category": "c", "title": "t <x>", "url": "http://u"}, {"sector": "a & b", "category": "d", "title": "t2", "url": "http://v"}]
+    page = RP.digest_html("2026-W01", lines)
+    assert page.count("<h2>") == 1 and "t &lt;x&gt;" in page
+    assert [open(n, encoding="utf-8").read() for n in RP.write_page(spark, page, str(tmp_path / "web"), "2026-W01")] == [page, page]
+    items = spark.createDataFrame([("k", i, f"s{i % 2}", f"title {i}") for i in range(7)], "cluster string, pos int, source string, title string")
+    n = spark.createDataFrame([("k", 1, "C1", "news", "market")], "cluster string, no int, label string, sector string, category string")
+    block = RP.cluster_blocks(n, items).collect()[0]["block"]
+    assert block.startswith("[C1] news market (S0, S1)") and block.count("- title") == 5
+
+
+def test_small_core_functions(spark):
+    t = spark.createDataFrame([("T one", "B  two", ["Acme Co", "x"])], "t string, b string, e array<string>")
+    assert t.select(X.augmented(F.col("t"), F.col("b"), F.col("e")).alias("a")).collect()[0]["a"] == "t one b two ent_acme_co ent_x"
+    reply = spark.createDataFrame([('So: {"a": "b", "": "c", "d": "", "e": null} bye',), ("none",), (None,)], "r string")
+    assert [r[0] for r in reply.select(X.labelled_objects(F.col("r"))).collect()] == [[("a", "b")], [], []]
+    many = spark.createDataFrame([("c", f"e{i}", i % 3, float(i)) for i in range(8)], "cluster_id string, entity string, count int, velocity double")
+    assert [r["entity"] for r in E.top_entities(many).orderBy("place").collect()] == ["e5", "e2", "e7", "e4", "e1"]
+
+
+def test_components_of_a_long_chain(spark):
+    n = 300
+    got = G.components(spark.createDataFrame([(i, i + 1) for i in range(n)], "a int, b int"))
+    assert got.count() == n + 1 and got.agg(F.max("component")).collect()[0][0] == 0
+
+
+def test_cluster_documents_against_average_linkage(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["red fox jumps", "red fox sleeps", "blue whale swims", "blue whale dives", "alone here"])], "id int, text string")
+    v = V.tfidf(docs, ["id"], min_df=1, bigrams=False)
+    edges = V.cosine_pairs(v, 0.2).select("a", "b")
+    got = {r["id"]: r["cluster"] for r in C.cluster_documents(v, edges, docs.select("id"), 0.2).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4}
+
+
+def test_coverage_gap_of_text_aspects(spark):
+    scores = spark.createDataFrame([("k1", "alpha", 2.0), ("k1", "beta", 1.0), ("k2", "beta", 3.0)], "cluster string, aspect string, score double")
+    debt = spark.createDataFrame([("alpha", 0.5), ("beta", 1.5)], "aspect string, debt double")
+    assert {r["cluster"]: round(r["coverage_gap"], 6) for r in S.coverage_gap(scores, debt).collect()} == {"k1": 0.0, "k2": 1.0}
+
+
 def test_components_against_union_find(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 130)] + [(7, 7), (None, 3)]
