@@ -63,10 +63,12 @@ def _items(spark, sf_dir):
 
 def _one_item(items):
     """One row an id: the first stored."""
-    return items.groupBy("id").agg(*[F.min(c).alias(c) for c in ("source", "title", "url", "body", "ts", "ingested_at")], F.max("used_in_digest").alias("used_in_digest"))
+    cols = ("ingested_at", "source", "title", "url", "body", "ts")
+    one = items.groupBy("id").agg(F.min(F.struct(*cols)).alias("r"), F.max("used_in_digest").alias("used_in_digest"))
+    return one.select("id", *[f"r.{c}" for c in ("source", "title", "url", "body", "ts", "ingested_at")], "used_in_digest")
 
 
-ITEM1 = "(SELECT id, min(source) AS source, min(title) AS title, min(url) AS url, min(body) AS body, min(ts) AS ts, min(ingested_at) AS ingested_at, max(used_in_digest) AS used_in_digest FROM items GROUP BY id)"
+ITEM1 = "(SELECT id, r.source AS source, r.title AS title, r.url AS url, r.body AS body, r.ts AS ts, r.ingested_at AS ingested_at, used_in_digest FROM (SELECT id, min(struct_pack(ingested_at := ingested_at, source := source, title := title, url := url, body := body, ts := ts)) AS r, max(used_in_digest) AS used_in_digest FROM items GROUP BY id))"
 SIG1 = """(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY week, topic_id ORDER BY score DESC NULLS LAST, coverage DESC NULLS LAST, relevance DESC NULLS LAST) AS rn FROM cluster_signals) WHERE rn = 1)"""
 HIST = "(SELECT event_type || '#' || (user_id % 20) AS entity, strftime(ts, '%Y-W%V') AS week, count(*) AS count FROM events GROUP BY ALL)"
 LEDGER = "(SELECT week, aspect, n * 1.0 / max(n) OVER (PARTITION BY week) AS coverage FROM (SELECT strftime(l_shipdate, '%Y-W%V') AS week, p_type AS aspect, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL))"
@@ -217,6 +219,13 @@ def feed_cache_lookup(spark, sf_dir):
     return table(spark, sf_dir, "sources").select("url").distinct().join(table(spark, sf_dir, "feed_cache"), "url", "left").select("url", "etag", "last_modified")
 
 
+@query("SELECT o_orderkey AS id FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-01 12:00:00' - INTERVAL 7 DAY AND o_orderdate <= TIMESTAMP '2001-07-01 12:00:00'")
+def rolling_week_orders(spark, sf_dir):
+    """The window over rows whose instants are stored: the orders of a week."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("utc_ms"))
+    return ST.rolling_window(o.select("id"), o.withColumn("field", F.lit("ingested_at")), int(datetime.fromisoformat("2001-07-01 12:00:00+00:00").timestamp() * 1000))
+
+
 @query()
 def rolling_week_items(spark, sf_dir):
     items = _items(spark, sf_dir)
@@ -245,7 +254,17 @@ def week_gaps(spark, sf_dir):
     return table(spark, sf_dir, "topic_bank").select("topic_id", W.week_to_date(F.col("first_week")).cast("string").alias("monday"), W.weeks_between(F.col("last_week"), F.col("first_week")).cast("bigint").alias("span"))
 
 
-@query()
+def _age_sql(rows: str) -> str:
+    """(id, age) of rows (id, ts), as weeks.rfc822_age_days."""
+    rx = W.RFC822.replace("'", "''")
+    part = lambda k: f"regexp_extract(ts, '{rx}', {k})"
+    zones = " ".join(f"WHEN '{k}' THEN {v}" for k, v in W.RFC822_ZONES.items())
+    t = f"try_strptime({part(1)} || ' ' || {part(2)} || ' ' || {part(3)} || ' ' || {part(4)} || CASE WHEN {part(5)} = '' THEN ':00' ELSE {part(5)} END, '%d %b %Y %H:%M:%S')"
+    off = f"CASE WHEN regexp_matches({part(6)}, '^[+-]') THEN CAST(substring({part(6)}, 1, 1) || '1' AS INT) * (CAST(substring({part(6)}, 2, 2) AS INT) * 60 + CAST(substring({part(6)}, 4, 2) AS INT)) ELSE 60 * CASE upper({part(6)}) {zones} ELSE 0 END END"
+    return f"(SELECT id, CASE WHEN regexp_matches(ts, '{rx}') AND {t} IS NOT NULL THEN greatest(0, (epoch_us(TIMESTAMP '{NOW}') - epoch_us({t}) + CAST({off} AS BIGINT) * 60000000) / 86400000000.0) END AS age FROM {rows})"
+
+
+@query(f"SELECT id, round(age, 6) AS age FROM {_age_sql(ITEM1)}")
 def rfc822_age(spark, sf_dir):
     return _one_item(_items(spark, sf_dir)).select("id", _r(W.rfc822_age_days(F.col("ts"), F.lit(NOW).cast("timestamp"))).alias("age"))
 
@@ -520,6 +539,9 @@ def _queries8(spark, sf_dir):
     return table(spark, sf_dir, "eval_items").filter("eval_id % 20 = 0").select(F.col("eval_id").alias("query_id"), "text")
 
 
+COS = "list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE))) / sqrt(list_sum(list_transform(a.embedding, lambda z: CAST(z AS DOUBLE) * CAST(z AS DOUBLE))) * list_sum(list_transform(b.embedding, lambda z: CAST(z AS DOUBLE) * CAST(z AS DOUBLE))))"
+
+
 def _bm25_sql() -> str:
     norm = _norm_sql("text")
     return f"""tok AS (SELECT doc_id AS id, list_filter(string_split({norm}, ' '), lambda w: w <> '') AS w FROM documents), dl AS (SELECT id, len(w) AS dl FROM tok), corpus AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
@@ -556,9 +578,6 @@ def exclusion_signal(spark, sf_dir):
     return S.exclusion(s).select("cluster", F.round("profile_exclusion", 4).alias("profile_exclusion"))
 
 
-COS = "list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE))) / sqrt(list_sum(list_transform(a.embedding, lambda z: CAST(z AS DOUBLE) * CAST(z AS DOUBLE))) * list_sum(list_transform(b.embedding, lambda z: CAST(z AS DOUBLE) * CAST(z AS DOUBLE))))"
-
-
 @query(f"SELECT query_id, id, round(score, 4) AS score FROM (SELECT a.vec_id AS query_id, b.vec_id AS id, {COS} AS score, row_number() OVER (PARTITION BY a.vec_id ORDER BY round({COS}, 9) DESC, b.vec_id) AS rk FROM embeddings a, embeddings b WHERE a.vec_id % 20 = 0) WHERE rk <= 10")
 def dense_topk(spark, sf_dir):
     """Vectors whose id is divisible by 20 as queries, against all vectors."""
@@ -568,12 +587,14 @@ def dense_topk(spark, sf_dir):
 
 
 @query(f"""WITH {_bm25_sql()}, l AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rk FROM s),
-d AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rk FROM (SELECT a.vec_id AS query_id, b.vec_id AS id, {COS} AS score FROM embeddings a, embeddings b WHERE a.vec_id % 20 = 0))
+d AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rk FROM (SELECT a.vec_id AS query_id, b.vec_id AS id, {COS} AS score FROM embeddings a, embeddings b WHERE a.vec_id IN (SELECT eval_id FROM eval_items WHERE eval_id % 20 = 0) AND b.vec_id IN (SELECT doc_id FROM documents)))
 SELECT query_id, id, round(sum(1.0 / (60 + rk)), 6) AS fused FROM (SELECT * FROM l WHERE rk <= 100 UNION ALL SELECT * FROM d WHERE rk <= 100) GROUP BY ALL""")
 def rrf_hybrid(spark, sf_dir):
+    """Both lanes over the documents: the vector of a document, and of a query, is the one of its number."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    e = table(spark, sf_dir, "embeddings")
-    dense = R.dense_scores(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("e")), e.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")))
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("e"))
+    asked = e.join(_queries8(spark, sf_dir).select(F.col("query_id").alias("id")), "id", "left_semi").select(F.col("id").alias("query_id"), F.col("e").alias("q"))
+    dense = R.dense_scores(e.join(d.select("id"), "id", "left_semi"), asked)
     return R.rrf([R.ranked(R.bm25(d, _queries8(spark, sf_dir)), 100), R.ranked(dense, 100)]).select("query_id", "id", _r("fused").alias("fused"))
 
 
@@ -626,7 +647,8 @@ def source_signals(spark, sf_dir):
     return S.source_signals(m, table(spark, sf_dir, "sources")).select("cluster", F.round("prior", 5).alias("prior"), F.round("source_breadth", 5).alias("source_breadth"))
 
 
-@query()
+@query(f"""WITH r AS (SELECT substring(id, 1, 2) AS cluster, min(age) AS age FROM {_age_sql(ITEM1)} GROUP BY 1), x AS (SELECT cluster, exp(-coalesce(age, (SELECT median(age) FROM r), 0) / 4) AS x FROM r)
+SELECT cluster, round((x - min(x) OVER ()) / (max(x) OVER () - min(x) OVER () + 1e-9), 5) AS recency_decay FROM x""")
 def recency_signal(spark, sf_dir):
     i = _one_item(_items(spark, sf_dir))
     ages = i.select(F.substring("id", 1, 2).alias("cluster"), W.rfc822_age_days(F.col("ts"), F.lit(NOW).cast("timestamp")).alias("age_days"))
@@ -654,7 +676,10 @@ def distinct_links(spark, sf_dir):
     return SE.distinct_links(i)
 
 
-@query()
+@query(f"""WITH RECURSIVE o AS (SELECT row_number() OVER (ORDER BY ingested_at, id) AS n, source AS cluster, id, hash(url) AS u, CASE WHEN sig <> '' THEN hash(sig) END AS s FROM (SELECT *, {_signature_sql('title')} AS sig FROM {ITEM1})),
+r(n, us, ss, kept) AS (SELECT 0::BIGINT, []::UBIGINT[], []::UBIGINT[], false UNION ALL
+SELECT o.n, CASE WHEN k THEN list_append(us, o.u) ELSE us END, CASE WHEN k AND o.s IS NOT NULL THEN list_append(ss, o.s) ELSE ss END, k FROM (SELECT r.*, o.*, NOT list_contains(us, o.u) AND (o.s IS NULL OR NOT list_contains(ss, o.s)) AS k FROM r JOIN o ON o.n = r.n + 1) AS x(rn, us, ss, kept, n, cluster, id, u, s, k), LATERAL (SELECT x.n, x.u, x.s) AS o(n, u, s))
+SELECT cluster, id FROM o JOIN r USING (n) WHERE kept""")
 def greedy_dedup(spark, sf_dir):
     """All items in order of arrival as one selection."""
     i = _one_item(_items(spark, sf_dir))
@@ -666,12 +691,24 @@ def _candidates(spark, sf_dir):
     return e.select(F.col("vec_id").alias("cluster"), F.round(1 / (1 + F.col("vec_id") / 50), 6).alias("score"), ((F.col("vec_id") % 7) / 20).alias("relevance"), F.col("embedding").alias("vec"))
 
 
-@query()
+def _mmr_sql(steps: str) -> str:
+    """CTE m: (cluster, score, relevance, place) in MMR order up to `steps`."""
+    gain = "CASE WHEN step = 0 THEN score ELSE 0.65 * score - 0.35 * near END"
+    return f"""c AS (SELECT vec_id AS cluster, round(1 / (1 + vec_id / 50.0), 6) AS score, (vec_id % 7) / 20.0 AS relevance FROM embeddings),
+    sim AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, {COS} AS s FROM embeddings a, embeddings b),
+    r AS (SELECT 0 AS step, cluster, score, CAST(-2 AS DOUBLE) AS near, CAST(NULL AS INT) AS place FROM c UNION ALL
+    SELECT step + 1, cluster, score, greatest(near, s), CASE WHEN cluster = pick THEN step + 1 ELSE place END FROM (SELECT *, first_value(cluster) OVER (ORDER BY place IS NULL DESC, {gain} DESC, score DESC, cluster) AS pick FROM r WHERE step < {steps}) x JOIN sim ON a = cluster AND b = pick),
+    m AS (SELECT cluster, score, relevance, CAST(r.place AS BIGINT) AS place FROM r JOIN c USING (cluster, score) WHERE r.step = {steps} AND r.place IS NOT NULL)"""
+
+
+@query(f"WITH RECURSIVE {_mmr_sql('15')} SELECT cluster, score, place FROM m")
 def mmr_fixed(spark, sf_dir):
     return SE.mmr_order(_candidates(spark, sf_dir), k=15)
 
 
-@query()
+@query(f"""WITH RECURSIVE {_mmr_sql('(SELECT count(*) FROM embeddings)')}, d AS (SELECT place, score - lead(score) OVER (ORDER BY place) AS d FROM m), e AS (SELECT * FROM d WHERE d IS NOT NULL),
+s AS (SELECT place, round(coalesce(lag(d) OVER (ORDER BY place), 0) * 0.25 + d * 0.5 + coalesce(lead(d) OVER (ORDER BY place), 0) * 0.25, 12) AS v FROM e), k AS (SELECT least(greatest((SELECT place FROM s ORDER BY v DESC, place LIMIT 1), 8), 40) AS cut)
+SELECT cluster, score, place FROM m, k WHERE place <= cut OR (place <= 40 AND relevance >= 0.15)""")
 def mmr_dynamic(spark, sf_dir):
     return SE.mmr_dynamic(_candidates(spark, sf_dir))
 
@@ -692,9 +729,16 @@ def lexical_cohesion(spark, sf_dir):
     return SN.cohesion(d).select("id", F.round("cohesion", 5).alias("cohesion"))
 
 
-@query()
+_ASKED = "streaming subscribers and advertising measurement"
+
+
+@query(f"""WITH s0 AS (SELECT doc_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS text FROM (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS a FROM documents)),
+many AS (SELECT doc_id FROM s0 GROUP BY doc_id HAVING count(*) > 1), s AS (SELECT * FROM s0 WHERE doc_id IN (SELECT doc_id FROM many) UNION ALL SELECT doc_id, -1, coalesce(title, '') FROM documents JOIN many USING (doc_id) UNION ALL SELECT doc_id, -2, '{_ASKED}' FROM many),
+{_tfidf_sql('SELECT * FROM s', 1, False, 'doc_id, pos', 'doc_id')}, m AS (SELECT v.doc_id, v.pos, sum(v.weight * (0.7 * coalesce(q.weight, 0) - 0.3 * coalesce(t.weight, 0))) AS m FROM v LEFT JOIN v q ON q.doc_id = v.doc_id AND q.term = v.term AND q.pos = -2 LEFT JOIN v t ON t.doc_id = v.doc_id AND t.term = v.term AND t.pos = -1 WHERE v.pos >= 0 GROUP BY ALL),
+b AS (SELECT s0.doc_id, s0.text, row_number() OVER (PARTITION BY s0.doc_id ORDER BY round(coalesce(m, 0), 9) DESC, s0.pos) AS k FROM s0 JOIN many USING (doc_id) LEFT JOIN m USING (doc_id, pos))
+SELECT d.doc_id AS id, coalesce(b.text, substring(d.text, 1, 240)) AS sentence FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id AND k = 1""")
 def sentence_mmr(spark, sf_dir):
-    return SN.best_sentence(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "title", "text"), "streaming subscribers and advertising measurement")
+    return SN.best_sentence(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "title", "text"), _ASKED)
 
 
 @query()
@@ -709,7 +753,14 @@ def tuned_weights(spark, sf_dir):
     return spark.createDataFrame(sorted((w or {}).items()), "term string, weight double")
 
 
-@query()
+@query(f"""WITH h AS (SELECT DISTINCT CAST(topic_id AS VARCHAR) AS entity, week FROM cluster_signals WHERE topic_id IS NOT NULL), w AS (SELECT DISTINCT week FROM h ORDER BY week DESC LIMIT 3), now AS (SELECT DISTINCT entity FROM h WHERE week >= '2026-W20'),
+a AS (SELECT entity AS name, count(*) AS k FROM h WHERE week IN (SELECT week FROM w) AND entity IN (SELECT entity FROM now) GROUP BY entity HAVING count(*) >= 3 ORDER BY k DESC, name DESC LIMIT 5),
+o AS (SELECT * FROM h WHERE week <> '{WEEK}'), r AS (SELECT DISTINCT week FROM o ORDER BY week DESC LIMIT 6), l AS (SELECT entity AS name, max(week) AS last_week FROM o WHERE week IN (SELECT week FROM r) GROUP BY entity),
+b AS (SELECT name, {_between(f"'{WEEK}'", 'last_week')} AS k FROM l WHERE name IN (SELECT entity FROM now) AND {_between(f"'{WEEK}'", 'last_week')} >= 4 ORDER BY k DESC, name DESC LIMIT 5),
+t AS (SELECT topic_id, 'topic#' || topic_id AS name, weeks_seen, {_between(f"'{WEEK}'", 'last_week')} AS gap FROM topic_bank),
+c AS (SELECT name, weeks_seen AS k FROM t WHERE weeks_seen >= 3 ORDER BY weeks_seen DESC, name DESC, topic_id LIMIT 3), d AS (SELECT name, gap AS k FROM t WHERE gap >= 4 ORDER BY gap DESC, name DESC, topic_id LIMIT 3),
+u AS (SELECT 1 AS section, k, name, name || ': in ' || k || ' weeks running' AS line FROM a UNION ALL SELECT 2, k, name, name || ': back after ' || k || ' weeks' FROM b UNION ALL SELECT 3, k, name, name || ': ' || k || ' weeks' FROM c UNION ALL SELECT 4, k, name, name || ': back after ' || k || ' weeks' FROM d)
+SELECT CAST(section AS INT) AS section, CAST(row_number() OVER (PARTITION BY section ORDER BY k DESC, name DESC, line) AS INT) AS place, line FROM u WHERE (SELECT count(DISTINCT week) FROM h) >= 2""")
 def longitudinal_lines(spark, sf_dir):
     s = table(spark, sf_dir, "cluster_signals").filter("topic_id is not null").select(F.col("topic_id").cast("string").alias("entity"), "week")
     b = table(spark, sf_dir, "topic_bank")
@@ -765,15 +816,13 @@ def cluster_numbering(spark, sf_dir):
 @query()
 def streaming_ingest(spark, sf_dir):
     """The items table as a stream of files, ingested once: (id, source, url) of the first row of each id."""
-    import os
     from uuid import uuid4
 
     from ..session import checkpoint_dir
     from ..streaming import ingest as IN
 
     root = f"{checkpoint_dir(spark)}/ingest-{uuid4().hex}"
-    src = f"{sf_dir}/items.parquet" if os.path.isdir(f"{sf_dir}/items.parquet") else f"{sf_dir}/items.parque[t]"
-    IN.ingest(IN.item_stream(spark, src), f"{root}/items", f"{root}/state").awaitTermination()
+    IN.ingest(IN.item_stream(spark, _stream_path(sf_dir, "items")), f"{root}/items", f"{root}/state").awaitTermination()
     return spark.read.schema(ST.SCHEMAS["items"]).parquet(f"{root}/items").select("id", "source", "url")
 
 
@@ -784,10 +833,94 @@ SQL["streaming_ingest"] = f"SELECT id, source, url FROM {ITEM1}"
 def page_links(spark, sf_dir):
     """Index pages written from each newsroom's items, and the article links found on them."""
     i = _one_item(_items(spark, sf_dir)).filter("url is not null and title is not null").join(table(spark, sf_dir, "sources").filter("kind = 'newsroom'").select("source", F.col("url").alias("base")), "source")
-    shelf = F.substring("id", 1, 1)  # a newsroom's items on sixteen index pages
+    shelf = F.substring("id", 1, 3)  # a newsroom's items on index pages of some dozens at most
     a = F.concat(F.lit('<a href="'), F.col("url"), F.lit('?ref=index">'), F.replace("title", F.lit("<"), F.lit("")), F.lit("</a>"))
     pages = i.groupBy("source", "base", shelf.alias("shelf")).agg(F.concat(F.lit("<html><nav><a href='/about'>About this newsroom and its people</a></nav>"), F.array_join(F.sort_array(F.collect_list(a)), "\n"), F.lit("</html>")).alias("html"))
-    return IG.page_links(pages)
+    return IG.page_links(pages, skip=("/about",))
+
+
+@query(f"""WITH n AS (SELECT id, source, url FROM {ITEM1} WHERE source IN (SELECT source FROM sources WHERE kind = 'newsroom')), s AS (SELECT DISTINCT url FROM n WHERE substring(id, 1, 1) < '8')
+SELECT source, url, n FROM (SELECT source, url, row_number() OVER (PARTITION BY source ORDER BY place, url) AS n FROM (SELECT source, url, length(url) AS place FROM n WHERE url NOT IN (SELECT url FROM s))) WHERE n <= 6""")
+def unknown_links(spark, sf_dir):
+    """Newsroom links of which the first half is stored; the shortest unknown ones of each source."""
+    n = _one_item(_items(spark, sf_dir)).join(table(spark, sf_dir, "sources").filter("kind = 'newsroom'").select("source").distinct(), "source", "left_semi").select("id", "source", "url", F.length("url").alias("place"))
+    new = IG.unknown_links(n, n.filter("substring(id, 1, 1) < '8'"))
+    return new.select("source", "url", F.row_number().over(Window.partitionBy("source").orderBy("place", "url")).alias("n"))
+
+
+@query(f"""WITH h AS {HIST}, v AS (SELECT week AS cluster_id, entity, count, count * 1.0 / length(entity) AS velocity FROM h)
+SELECT cluster_id, entity, count, round(velocity, 6) AS velocity, place FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY count DESC, velocity DESC, entity) AS place FROM v) WHERE place <= 5""")
+def top_entities(spark, sf_dir):
+    h = _hist(spark, sf_dir).select(F.col("week").alias("cluster_id"), "entity", "count", (F.col("count") / F.length("entity")).alias("velocity"))
+    return E.top_entities(h).select("cluster_id", "entity", "count", _r("velocity").alias("velocity"), "place")
+
+
+@query(f"""SELECT id, {_norm_sql('title')} || ' ' || {_norm_sql("coalesce(body, '')")} || ' ' || 'ent_' || replace(lower(source), ' ', '_') AS text FROM {ITEM1}""")
+def augmented_text(spark, sf_dir):
+    return _one_item(_items(spark, sf_dir)).select("id", X.augmented(F.col("title"), F.col("body"), F.array("source")).alias("text"))
+
+
+@query("SELECT event_id, 'k' AS label, CAST(json_extract(props, '$.k') AS VARCHAR) AS descriptor FROM events WHERE json_extract(props, '$.k') IS NOT NULL")
+def reply_salvage(spark, sf_dir):
+    """Objects in the midst of prose: the events' properties as a reply would give them."""
+    reply = F.concat(F.lit("Here you are:\n"), F.col("props"), F.lit("\nThat is all."))
+    return table(spark, sf_dir, "events").select("event_id", F.explode(X.labelled_objects(reply)).alias("e")).select("event_id", "e.label", "e.descriptor").filter("label = 'k'")
+
+
+@query("""SELECT source AS aspect, kind AS descriptor, 'new' AS profile_hash FROM sources
+UNION ALL SELECT source, 'kept', 'old' FROM sources WHERE false""")
+def aspect_cache_refresh(spark, sf_dir):
+    """Aspects derived from a former profile are replaced as a whole."""
+    s = table(spark, sf_dir, "sources")
+    cache = s.select(F.col("source").alias("aspect"), F.lit("kept").alias("descriptor"), F.when(F.length("source") % 2 == 0, "new").otherwise("old").alias("profile_hash"))
+    return ST.refreshed(cache, s.select(F.col("source").alias("aspect"), F.col("kind").alias("descriptor")), "new")
+
+
+@query("""WITH s AS (SELECT sector, source, row_number() OVER (PARTITION BY sector ORDER BY source) AS n FROM sources WHERE sector IS NOT NULL), p AS (SELECT 'C' || (n % 3 + 1) AS label, source AS pick, row_number() OVER (PARTITION BY n % 3 ORDER BY sector, n) AS k FROM s)
+SELECT label, pick, 'cluster of ' || label AS cluster FROM p WHERE k = 1 AND label IN ('C1', 'C3')""")
+def spotlight_clusters(spark, sf_dir):
+    """Spotlight picks joined to the clusters C1 and C3; a pick of another label drops out."""
+    clusters = spark.createDataFrame([(c, f"cluster of {c}") for c in ("C1", "C3", "C9")], "label string, cluster string")
+    return RP.picked_clusters(spotlight_picks(spark, sf_dir), clusters).select("label", "pick", "cluster")
+
+
+def _stream_path(sf_dir: str, name: str) -> str:
+    """A folder that a stream can read: the table's own, or the one file of it by a pattern."""
+    import os
+
+    return f"{sf_dir}/{name}.parquet" if os.path.isdir(f"{sf_dir}/{name}.parquet") else f"{sf_dir}/{name}.parque[t]"
+
+
+def _event_stream(spark, sf_dir):
+    return spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(_stream_path(sf_dir, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("SELECT strftime(date_trunc('week', ts), '%Y-W%V') AS week, event_type, count(*) AS count FROM events GROUP BY ALL")
+def streaming_weekly_counts(spark, sf_dir):
+    """Events as a stream of files, counted by week; what the last batch leaves."""
+    from uuid import uuid4
+
+    from ..session import checkpoint_dir
+    from ..streaming import ingest as IN
+
+    root = f"{checkpoint_dir(spark)}/weekly-{uuid4().hex}"
+    counts = IN.weekly_counts(_event_stream(spark, sf_dir), "ts", ["event_type"])
+    counts.writeStream.outputMode("complete").foreachBatch(lambda df, epoch: df.write.mode("overwrite").parquet(f"{root}/out")).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def streaming_distinct_users(spark, sf_dir):
+    """The first event of every user within a delay longer than the stream."""
+    from uuid import uuid4
+
+    from ..session import checkpoint_dir
+    from ..streaming import ingest as IN
+
+    root = f"{checkpoint_dir(spark)}/distinct-{uuid4().hex}"
+    users = IN.distinct_within(_event_stream(spark, sf_dir).select("user_id", "ts"), "user_id", "ts", "400 days").select("user_id")
+    users.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("user_id bigint").parquet(f"{root}/out")
 
 
 @query("SELECT week, 'https://pages.example/' || week || '.html' AS url FROM (SELECT DISTINCT week FROM cluster_signals ORDER BY week DESC LIMIT 8)")
@@ -807,12 +940,17 @@ def persist_signals(spark, sf_dir):
 
 @query()
 def score_clusters(spark, sf_dir):
-    """All signals of the sources as clusters, against the stored topics and history."""
+    """All signals of 256 mixed clusters, against stored topics, a history of the items' own entities and a ledger of the aspects."""
     i = cut(_one_item(_items(spark, sf_dir)).withColumn("text", F.concat_ws(" ", "title", "body")))
-    clusters = i.select("id", F.col("source").alias("cluster"))
+    clusters = i.select("id", F.substring("id", 1, 2).alias("cluster"))
     v = cut(V.tfidf(i.select("id", F.coalesce("title", F.lit("")).alias("text")), ["id"]))
     topics = cut(C.medoids(v, i.select("id", F.pmod(F.xxhash64("id"), F.lit(50)).alias("cluster"))).join(v, "id").select((F.col("cluster") + 1).alias("topic_id"), "term", "weight"))
     ages = i.select("id", W.rfc822_age_days(F.col("ts"), F.lit(NOW).cast("timestamp")).alias("age_days"))
-    asp = _queries8(spark, sf_dir)
-    out = D.score_clusters(i.select("id", "source", "text"), clusters, v, E.item_entities(i), cut(_hist(spark, sf_dir)), table(spark, sf_dir, "sources"), asp, asp, table(spark, sf_dir, "topic_bank"), topics, cut(_ledger(spark, sf_dir)), ages, WEEK, _hist(spark, sf_dir).select("entity").limit(0))
+    entities = cut(E.item_entities(i))
+    hist = cut(E.history(entities.select("entity", F.concat(F.lit("2026-W"), (F.pmod(F.xxhash64("id"), F.lit(8)) + 10).cast("string")).alias("week"))))
+    asked = lambda k: table(spark, sf_dir, "eval_items").filter(f"eval_id % 20 = {k}").select(F.col("eval_id").alias("query_id"), "text")
+    parts = table(spark, sf_dir, "lineitem").groupBy(W.week_key(F.col("l_shipdate")).alias("week"), (F.col("l_partkey") % 12 * 20).cast("string").alias("aspect")).agg(F.count("*").alias("n"))
+    ledger = cut(parts.join(parts.groupBy("week").agg(F.max("n").alias("top")), "week").select("week", "aspect", (F.col("n") / F.col("top")).alias("coverage")))
+    keys = entities.filter(F.col("entity").startswith("Ostrava")).select("entity")
+    out = D.score_clusters(i.select("id", "source", "text"), clusters, v, entities, hist, table(spark, sf_dir, "sources").withColumn("prior", F.round(0.5 + F.length("source") % 7 / 10, 1)), asked(0), asked(10), table(spark, sf_dir, "topic_bank"), topics, ledger, ages, WEEK, keys)
     return out.select("cluster", "medoid", "topic_id", *[F.round(c, 6).alias(c) for c in (*S.DEFAULT_WEIGHTS, "score")])
