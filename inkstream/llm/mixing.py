@@ -28,34 +28,35 @@ from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, cut
 
-#: Blocks that each source's permutation is cut into.
-BLOCKS = 256
+#: Documents that a block of a source's permutation holds in the mean; a block is ordered in one task.
+BLOCK_DOCS = 20_000
 _ENCODERS: dict[str, object] = {}
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
+def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
+    """(vocabulary file, pattern) of one of the public tokenizers, where their package is installed; else callers name their own."""
     import public_tokenizers
 
-    return str(public_tokenizers.path(name))
+    return str(public_tokenizers.path(name)), public_tokenizers.PATTERN
 
 
-def _encoder(path: str):
+def _encoder(path: str, pattern: str):
     if path not in _ENCODERS:
-        import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODERS[path] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[path] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     return _ENCODERS[path]
 
 
-def token_counts(docs: DataFrame, path: str | None = None, ident: str = "doc_id") -> DataFrame:
-    """(ident, source, n_tokens), one row per document."""
-    path = path or tokenizer_path()
+def token_counts(docs: DataFrame, path: str | None = None, pattern: str | None = None, ident: str = "doc_id") -> DataFrame:
+    """(ident, source, n_tokens), one row per document; path and pattern: a byte-pair vocabulary file and its word pattern."""
+    if path is None or pattern is None:
+        path, pattern = tokenizer()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = _encoder(path)
+        enc = _encoder(path, pattern)
         for b in batches:
             yield pd.DataFrame({ident: b[ident], "source": b["source"], "n_tokens": np.array([len(enc.encode_ordinary(t)) for t in b["text"]], np.int64)})
 
@@ -96,20 +97,24 @@ def mixture(tokens: dict[str, int], targets: dict[str, tuple[float, int]], budge
     return dict(zip(names, w.tolist(), strict=True)), hi, budget
 
 
-def chosen(counts: DataFrame, targets: DataFrame, budget: int | None = None, want_entropy: float | None = None, seed: int = 7, ident: str = "doc_id") -> DataFrame:
-    """(ident, source, n_tokens, repeats): documents used at least once; counts should be a checkpoint."""
+def chosen(counts: DataFrame, targets: DataFrame, budget: int | None = None, want_entropy: float | None = None, stretch: float | None = None, seed: int = 7, ident: str = "doc_id") -> DataFrame:
+    """(ident, source, n_tokens, repeats): documents used at least once; counts should be a checkpoint. stretch: a budget of so many
+    times the largest one that the targets themselves allow; over 1, the exponent moves as far as the repetition limits demand."""
     spark = counts.sparkSession
     # one row per configured source: as many as the configuration lists
-    totals = {r["source"]: r["n"] for r in counts.filter("source is not null").groupBy("source").agg(F.sum("n_tokens").alias("n")).join(targets.select("source").distinct(), "source", "left_semi").collect()}
+    have = counts.filter("source is not null").groupBy("source").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("d")).join(targets.select("source").distinct(), "source", "left_semi").collect()
+    totals, blocks = {r["source"]: r["n"] for r in have}, {r["source"]: 1 + r["d"] // BLOCK_DOCS for r in have}
     limits = {r["source"]: (r["t"], r["m"]) for r in targets.filter("source is not null").groupBy("source").agg(F.max("target_share").alias("t"), F.max("max_repeats").alias("m")).collect()}
+    if stretch is not None:
+        budget = int(stretch * mixture(totals, limits)[2])
     weights, _, budget = mixture(totals, limits, budget, want_entropy)
-    goal = spark.createDataFrame([(k, int(round(w * budget)), int(totals[k])) for k, w in weights.items()], "source string, goal bigint, total bigint")
+    goal = spark.createDataFrame([(k, int(round(w * budget)), int(totals[k]), blocks[k]) for k, w in weights.items()], "source string, goal bigint, total bigint, blocks bigint")
     rows = counts.join(broadcast_if_small(goal), "source")
     # every document is used `full` times; the rest of the goal is met by the head of one more permutation
     rows = rows.withColumn("full", F.floor(F.col("goal") / F.col("total"))).withColumn("rest", F.col("goal") - F.col("full") * F.col("total"))
-    rows = rows.withColumn("key", F.xxhash64(F.lit(seed), F.col(ident))).withColumn("block", F.pmod("key", F.lit(BLOCKS)))
+    rows = rows.withColumn("key", F.xxhash64(F.lit(seed), F.col(ident))).withColumn("block", F.pmod("key", "blocks"))
     sums = rows.groupBy("source", "block").agg(F.sum("n_tokens").alias("in_block"))
-    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # BLOCKS rows a source
+    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
     sums = sums.withColumn("ahead", F.coalesce(F.sum("in_block").over(before), F.lit(0))).drop("in_block")
     inner = Window.partitionBy("source", "block").orderBy("key", ident).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.join(broadcast_if_small(sums), ["source", "block"]).withColumn("start", F.col("ahead") + F.coalesce(F.sum("n_tokens").over(inner), F.lit(0)))
@@ -118,9 +123,9 @@ def chosen(counts: DataFrame, targets: DataFrame, budget: int | None = None, wan
     return placed.select(ident, "source", "n_tokens", (F.col("full") + F.when(F.col("rest") > 0, extra).otherwise(0)).cast("bigint").alias("repeats")).filter("repeats > 0")
 
 
-def mix(docs: DataFrame, targets: DataFrame, path: str | None = None, **how) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, targets: DataFrame, path: str | None = None, pattern: str | None = None, **how) -> tuple[DataFrame, DataFrame]:
     """(chosen documents with their repeats, shares reached per source)."""
-    counts = cut(token_counts(docs, path))
+    counts = cut(token_counts(docs, path, pattern))
     picked = cut(chosen(counts, targets, **how))
     used = picked.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("n_docs"), F.max("repeats").alias("most_repeats"))
     have = counts.groupBy("source").agg(F.sum("n_tokens").alias("available"))

@@ -140,6 +140,12 @@ def p9_shares(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
+@query()
+def p9_tempered(spark, sf_dir):
+    """Shares under a budget of twice what the targets allow: the exponent moves from them to the sources' own shares."""
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), stretch=2.0)[1]
+
+
 @query()
 def p5_found(spark, sf_dir):
     return boilerplate_lines(table(spark, sf_dir, "items"), table(spark, sf_dir, "sources"))
