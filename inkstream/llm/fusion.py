@@ -51,7 +51,7 @@ def borda(df: DataFrame, group: str, ident: str, scores=SIGNALS, weights: dict[s
     points = each.join(ranks, ["__g", "__score", "__value"], "left").groupBy(group, ident, "__g").agg(
         *[F.coalesce(F.max(F.when(F.col("__score") == s, F.col("__pt"))), F.lit(0.5)).alias(f"points_{s}") for s in scores]
     )
-    points = points.withColumn("points", F.round(_sum([F.col(f"points_{s}") * weights[s] for s in scores]), 9))
+    points = cut(points.withColumn("points", F.round(_sum([F.col(f"points_{s}") * weights[s] for s in scores]), 9)))  # ranked and numbered below
     place = average_ranks(points.select("__g", "points"), ["__g"], "points")
     # ties by identifier within equal sums: a window over one sum's members only
     tie = F.row_number().over(Window.partitionBy("__g", "points").orderBy(ident))
