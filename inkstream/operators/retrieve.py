@@ -22,8 +22,11 @@ def bm25(docs: DataFrame, queries: DataFrame) -> DataFrame:
     Of the documents' words only the distinct ones travel, for their counts, and the asked ones, for their frequencies.
     """
     tokens = docs.select("id", _words(F.col("text")).alias("w"))
-    corpus = tokens.agg(F.count("*").alias("n"), F.avg(F.size("w")).alias("avgdl"))
-    df = tokens.select(F.explode(F.array_distinct("w")).alias("term")).groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(corpus))
+    # one pass for the documents of each word and, under no word, their number and length
+    every = F.explode(F.array_append(F.array_distinct("w"), F.lit(None).cast("string")))
+    counts = cut(tokens.select(F.size("w").alias("dl"), every.alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("dl").alias("dl")))
+    corpus = counts.filter("term is null").select(F.col("df").alias("n"), (F.col("dl") / F.col("df")).alias("avgdl"))
+    df = counts.filter("term is not null").select("term", "df").crossJoin(F.broadcast(corpus))
     df = df.withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     mean = df.agg(F.avg("raw").alias("mean"))
     asked = cut(queries.select("query_id", F.explode(_words(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qf")))

@@ -21,6 +21,7 @@ from inkstream.operators import weights as WT
 from inkstream.operators.graph import components
 from inkstream.operators.instants import noncanonical_instants
 from inkstream.operators.ranking import average_ranks
+from inkstream.plans import export as EX
 from inkstream.plans import report as RP
 from inkstream.session import cut
 
@@ -295,3 +296,13 @@ def test_greedy_dedup_without_cap_equals_loop(spark, monkeypatch):
             want.append((r[0], r[3]))
     got = SE.greedy_dedup(spark.createDataFrame(d, "cluster int, place int, pos int, id string, url string, signature string"))
     assert rows(got) == sorted(want, key=str)
+
+
+def test_export_of_a_store(spark, tmp_path):
+    root = str(tmp_path / "store")
+    ST.swap(spark.createDataFrame([("2026-W01", {"relevance": 0.5}, None)], ST.SCHEMAS["scorer_weights"]), root, "scorer_weights")
+    ST.swap(spark.createDataFrame([(f"i{k}", "s", "t", "u", "b", None, f"2026-01-0{k}", False) for k in (1, 3, 2)], ST.SCHEMAS["items"]), root, "items")
+    made = EX.export(spark, root, str(tmp_path / "out"), ["items", "scorer_weights", "digests"])
+    assert [r["id"] for r in spark.read.option("header", True).csv(made[0]).collect()] == ["i3", "i2", "i1"]
+    assert spark.read.option("header", True).option("escape", '"').csv(made[1]).collect()[0]["weights"] == '{"relevance":0.5}'
+    assert spark.read.json(EX.export(spark, root, str(tmp_path / "out"), ["items"], "json")[0]).count() == 3
