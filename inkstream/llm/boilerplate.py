@@ -39,7 +39,7 @@ LISTED = ("- ", "– ", "* ")
 #: What a region of content costs, in log-odds of a line.
 REGION = 2.0
 #: Characters that are scored at once.
-CHUNK = 1_000_000
+CHUNK = 500_000
 
 _STOP = re.compile(r"[.!?。！？…][\"'”’»«“」』)\]]*$")
 _INNER = re.compile(r"[^\W\d_]{2,}[.!?][\"”’»)]*\s+[\"“«„—–-]?\s?\w|[。！？]\S")
@@ -245,7 +245,7 @@ def boilerplate_lines(items: DataFrame, sources: DataFrame, weights: np.ndarray
     weights = fit(items, sources) if weights is None else weights
     shared = items.sparkSession.sparkContext.broadcast(weights)
     pages = sources.filter("kind = 'newsroom'").select("source").distinct()
-    rows = items.filter("id is not null and body is not null").select("id", "source", "body").join(F.broadcast(pages), "source", "left_semi").select("id", "body")  # configured sources
+    rows = items.filter("id is not null and body is not null").select("id", "source", "body").join(broadcast_if_small(pages), "source", "left_semi").select("id", "body")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value

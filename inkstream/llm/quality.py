@@ -51,7 +51,7 @@ _FUNCTION_WORDS = "the of and to in for with that der die das und zu von mit de
 _RUNS_ON = re.compile(r"([^\W\d_]{2})[.!?][\"”’»)]?\s+[\"“«„—–-]?\s?(?=([^\W\d_]{2}))|[。！？]\S")
 _LIST_LINE = r"^(?:[-–—•*►▪·+>]|\[.?\]|\(?\w{1,3}[.):])\s|[|;\t].*[|;\t]|^\S+(?:,[^,\s][^,]*){2,}$"
 #: Characters that are measured at once.
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 @lru_cache(maxsize=1)
 def _known_words() -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -67,7 +67,7 @@ NOTICES = (
 MARKED = r"\{+%?[^{}\n]{1,80}\}+|[$#]\{[^{}\n]{1,80}\}|<[<%][^<>\n]{1,80}>|%+[A-Za-z_]{3,80}%+|\[\[?[^\[\]\n]{1,80}\]\]?|\*\|[^|\n]{1,80}\|\*|@@\w{1,80}@@|__\w{1,80}__"
 _SLOT, _FILLER, _NOTICE, _MARKED = (re.compile(x) for x in ("|".join(SLOTS), "|".join(FILLER), "|".join(NOTICES), MARKED))
 #: Characters that are hashed at once.
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 
 def masked(text: Column) -> Column:

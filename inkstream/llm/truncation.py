@@ -100,7 +100,7 @@ def contents(items: DataFrame) -> DataFrame:
     title = rows.select("id", "source", F.lit("title").alias("field"), F.length("title").cast("bigint").alias("chars"), _bare(_trim(F.col("title"))).alias("last"))
     kept = F.filter(F.split("body", "\n", -1), lambda x: _trim(x) != "")
     bodies = fence(rows.filter("body is not null").select("id", "source", "title", F.length("body").cast("bigint").alias("chars"), kept.alias("kept"))).filter("size(kept) > 0")
-    n_rows = rows.filter("source is not null").groupBy("source").agg(F.count("*").alias("n_rows"))
+    n_rows = cut(rows.filter("source is not null").groupBy("source").agg(F.count("*").alias("n_rows")))
     found, at = [title], 0
     while True:
         # lines at, at + 1, ... from the end
@@ -112,7 +112,7 @@ def contents(items: DataFrame) -> DataFrame:
         keyed = F.transform(keyed, lambda p: F.struct(p["x"], F.when(p["k"] != "", F.xxhash64(p["k"])).alias("k")))
         part = cut(part.select("id", "source", "chars", "more", keyed.alias("lines")))
         keys = part.filter("source is not null").select("source", F.explode(F.array_distinct(F.transform("lines", lambda p: p["k"]))).alias("key")).filter("key is not null")
-        counted = keys.groupBy("source", "key").agg(F.count("*").alias("n")).filter("n >= 3").join(F.broadcast(n_rows), "source").filter("n >= 0.05 * n_rows")
+        counted = keys.groupBy("source", "key").agg(F.count("*").alias("n")).filter("n >= 3").join(broadcast_if_small(n_rows), "source").filter("n >= 0.05 * n_rows")
         # each set is bounded: its lines stand in a twentieth of the source's items each
         sets = broadcast_if_small(cut(counted.groupBy(F.col("source").alias("__src")).agg(F.collect_set("key").alias("__keys"))), 20_000)
         own = F.filter("lines", lambda p: p["k"].isNull() | ~F.coalesce(F.array_contains(F.col("__keys"), p["k"]), F.lit(False)))
