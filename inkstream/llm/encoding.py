@@ -63,6 +63,8 @@ WINDOWS, DENSE_WINDOWS = range(3, 19), range(3, 7)
 _LOST = re.compile("[\u0080-\u009f�]")
 #: Token hashes that are sent to the executors to leave other tokens out before the join; beyond this all tokens are joined.
 MAX_WANTED = 2_000_000
+#: Forms that are sent to every executor for the join with the tokens; the driver holds them several times while it builds the table.
+MAX_FORM_BYTES = 32 << 20
 
 
 def decode(raw: bytes, how: str, errors: str = "replace") -> str:
@@ -285,18 +287,33 @@ def garbled_forms(stats: DataFrame) -> DataFrame:
     """(kind, token, original, chain, strong, n, n_original, chains, n_forms_of): forms that stand in the corpus and are rarer than
     their original, or as rare where they are strong."""
     forms = stats.filter(f"kind <> 'g' or token rlike '^{_PAIR.pattern}$'").repartition(int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token").mapInPandas(_forms, "kind string, token string, original string, chain int, n_original bigint, strong boolean")
-    # lost and control characters need no comparison: they are no writing in any language
-    met = stats.join(forms, ["kind", "token"]).filter((F.col("n_original") > F.col("n")) | (F.col("strong") & (F.col("n_original") == F.col("n"))) | F.col("token").rlike(_LOST.pattern))
+    # A word has some thirty forms, of which the planner's estimate knows nothing: it would take them for small and send them all
+    # through the driver. Lost and control characters need no comparison: they are no writing in any language.
+    met = stats.join(forms.hint("shuffle_merge"), ["kind", "token"]).filter((F.col("n_original") > F.col("n")) | (F.col("strong") & (F.col("n_original") == F.col("n"))) | F.col("token").rlike(_LOST.pattern))
     best = met.groupBy("kind", "token", "n").agg(F.max(F.struct("n_original", (-F.col("chain")).alias("minus"), "original")).alias("b"), F.max("strong").alias("strong"), F.array_distinct(F.collect_list("chain")).alias("chains"), F.size(F.collect_set("original")).alias("n_forms_of"))
     return best.select("kind", "token", "n", "b.n_original", "b.original", (-F.col("b.minus")).alias("chain"), "strong", "chains", "n_forms_of")
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_hashes(b.column("t").to_pylist()).view(np.int64))], ["h"])
+
+
 def _wanted(forms: DataFrame):
-    """The forms' token hashes for every executor, if a count shows that they are few; else None."""
+    """The forms' token hashes for every executor, if a count shows that they are few; else None. Tokens may be as long as a text;
+    the driver gets their hashes alone."""
     if forms.limit(MAX_WANTED + 1).count() > MAX_WANTED:
         return None
-    t = forms.select(F.concat("kind", "token").alias("t")).toArrow().column("t").combine_chunks()
-    return forms.sparkSession.sparkContext.broadcast(np.sort(_hashes(t.to_pylist())))
+    h = forms.select(F.concat("kind", "token").alias("t")).mapInArrow(_hashed, "h bigint").toArrow().column("h").to_numpy()
+    return forms.sparkSession.sparkContext.broadcast(np.sort(h.view(np.uint64)))
+
+
+def _broadcast_if_light(forms: DataFrame, max_bytes: int = MAX_FORM_BYTES) -> DataFrame:
+    """forms, a checkpoint, marked for broadcast when their rows take at most max_bytes, however long the tokens are; beyond that they
+    are joined by a shuffle."""
+    fixed = 160  # a row's other columns and its place in the table
+    took = forms.agg(F.sum(F.octet_length("token") + F.octet_length("original") + 8 * F.size("chains") + fixed)).first()[0] or 0
+    return F.broadcast(forms) if took <= max_bytes else forms.hint("shuffle_merge")
 
 
 def garbled_tokens(items: DataFrame, share: float = 0.5, stats: DataFrame | None = None) -> DataFrame:
@@ -306,7 +323,7 @@ def garbled_tokens(items: DataFrame, share: float = 0.5, stats: DataFrame | None
     occ = tokens(items, _wanted(forms))
     hit = F.struct("kind", "token", "original", "chain", "chains", "strong", "n_forms_of", ((F.length("token") >= 4) & (F.col("n_original") >= 5 * F.col("n"))).alias("long"))
     # a value's own tokens: bounded by its text
-    values = occ.join(broadcast_if_small(forms, 400_000), ["kind", "token"]).groupBy("id", "field").agg(F.collect_set(hit).alias("hits"))
+    values = occ.join(_broadcast_if_light(forms), ["kind", "token"]).groupBy("id", "field").agg(F.collect_set(hit).alias("hits"))
     # support of weak forms: a strong form in the same value, or a second form of the same chain
     chains = F.flatten(F.transform(F.filter("hits", lambda x: (x["kind"] == "w") & ~x["strong"]), lambda x: x["chains"]))
     values = values.withColumn("backed", F.exists("hits", lambda x: x["strong"]) | (F.size(chains) > F.size(F.array_distinct(chains))))

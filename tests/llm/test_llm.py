@@ -48,6 +48,25 @@ def test_encoding(spark):
     assert EN.garbled_values(df.limit(0)).count() == 0
 
 
+def test_encoding_forms_stay_off_the_driver(spark):
+    """A word's forms are many times the words: whatever the planner takes them for, they are joined by a shuffle."""
+    pairs = [(w, EN.garble(w, (("utf-8", "web1252"),))) for w in (f"Grün{chr(97 + i)}walde" for i in range(20))]
+    df = items(spark, [(f"c{i}", "s", w, f"{w} {w}") for i, (w, _) in enumerate(pairs)] + [(f"g{i}", "s", None, g) for i, (_, g) in enumerate(pairs)])
+    stats = EN.cut(EN.token_counts(df))
+    made = EN.garbled_forms(stats)
+    got = {(r["token"], r["original"]) for r in made.collect() if r["kind"] == "w"}
+    assert got >= {(g, w) for w, g in pairs}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    # few rows, but long ones: the bytes count, and joins by broadcast and by shuffle give the same
+    forms = EN.cut(made)
+    light, heavy = EN._broadcast_if_light(forms), EN._broadcast_if_light(forms, 1000)
+    assert ["strategy=broadcast" in x._jdf.queryExecution().analyzed().toString() for x in (light, heavy)] == [True, False]
+    occ = EN.tokens(df, EN._wanted(forms))
+    assert rows(occ.join(light, ["kind", "token"])) == rows(occ.join(heavy, ["kind", "token"])) != []
+    assert EN._wanted(forms).value.tolist() == sorted(EN._hashes([r["kind"] + r["token"] for r in forms.collect()]).tolist())
+
+
 def test_borda_against_loop(spark):
     nan = float("nan")
     data = [("w", 1, 1.0, 5.0), ("w", 2, 2.0, None), ("w", 3, 2.0, nan), ("w", 4, None, 1e9), ("w", 4, None, 1e9), (None, 1, 3.0, -1.0), ("v", 9, None, None)]
