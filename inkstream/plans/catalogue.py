@@ -520,10 +520,7 @@ def _vectors(spark, sf_dir):
 @query()
 def average_linkage(spark, sf_dir):
     """Average linkage of the embeddings, cut at a mean cosine of 0.2: (id, cluster)."""
-    e = table(spark, sf_dir, "embeddings")
-    a, b = e.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x")), e.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
-    sims = a.join(b, F.col("a") < F.col("b")).select("a", "b", R.cosine(F.col("x"), F.col("y")).alias("sim"))  # a fixed table of vectors
-    return C.average_linkage(e.select(F.col("vec_id").alias("id")), sims, 0.2)
+    return C.vector_linkage(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), 0.2)
 
 
 @query(f"""WITH {_tfidf_sql(f"SELECT id, coalesce(title, '') AS text FROM {ITEM1}")}, k AS (SELECT id, source AS cluster FROM {ITEM1}), a AS (SELECT cluster, term, sum(weight) AS s FROM v JOIN k USING (id) GROUP BY ALL),

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -189,6 +190,50 @@ def test_average_linkage_against_naive(spark, seed):
     assert sorted(tuple(sorted(g)) for g in groups.values()) == naive_linkage(sim, 0.4)
 
 
+@pytest.mark.parametrize("block_values", [C.BLOCK_VALUES, 60])
+def test_vector_linkage_against_naive(spark, block_values):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 5)) + 0.4  # cosines of either sign
+    x[30:] = x[:10]  # copies
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    data = [(i, [float(f) for f in v]) for i, v in enumerate(x)] + [(40, None), (41, [0.0] * 5), (42, [1.0, None, 0.0, 0.0, 0.0]), (43, [float("nan")] * 5), (44, [1.0]), (None, [1.0] * 5)]
+    data += [(0, [9.0] * 5)]  # the least of an id's vectors counts
+    got = C.vector_linkage(spark.createDataFrame(data, "id bigint, v array<double>"), 0.5, block_values).collect()
+    assert len(got) == 46
+    groups: dict = {}
+    for i, c in got:
+        groups.setdefault(c, []).append(i)
+    assert all(c == min(g) for c, g in groups.items() if c is not None)
+    own = {40, 41, 42, 43, 44, None}
+    assert all(groups[i] == [i] for i in own)
+    assert sorted(tuple(sorted(g)) for c, g in groups.items() if c not in own) == naive_linkage(y @ y.T, 0.5)
+    assert C.vector_linkage(spark.createDataFrame([], "id string, v array<float>")).count() == 0
+
+
+def test_average_linkage_query_of_two_thousand_vectors(spark, tmp_path):
+    import pandas as pd
+
+    from inkstream.plans import catalogue
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2000, 64)).astype("float32")
+    pd.DataFrame({"vec_id": range(2000), "embedding": list(x)}).to_parquet(tmp_path / "embeddings.parquet")
+    began = time.time()
+    got = catalogue.QUERIES["average_linkage"](spark, str(tmp_path)).collect()
+    assert len(got) == 2000 and 1 < len({r["cluster"] for r in got}) < 2000
+    assert time.time() - began < 60  # a nested loop of rows, in one task
+
+
+def test_average_linkage_query_counts_negative_cosines(spark, tmp_path):
+    import pandas as pd
+
+    from inkstream.plans import catalogue
+
+    turn = [0, 60, -63]  # cosines 0.5, 0.45 and -0.54: the third is no part of the first two
+    pd.DataFrame({"vec_id": range(3), "embedding": [[math.cos(math.radians(a)), math.sin(math.radians(a))] for a in turn]}).to_parquet(tmp_path / "embeddings.parquet")
+    assert rows(catalogue.QUERIES["average_linkage"](spark, str(tmp_path))) == [(0, 0), (1, 0), (2, 2)]
+
+
 def test_tfidf_unit_length_and_pairs(spark):
     texts = ["red apple pie", "red apple tart", "green pear", "green pear", "", "the and of", None]
     d = cut(spark.createDataFrame(list(enumerate(texts)), "id int, text string"))
