@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import ceil
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import broadcast_if_small, cut
+from .ranking import numbered
 
 # English stop words of the default vectoriser.
 STOP_WORDS = tuple(
@@ -39,24 +45,114 @@ def tfidf(docs: DataFrame, by: list[str], text: str = "text", min_df: int = 2, g
     return raw.withColumn("weight", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*by)))).select(*by, "term", "weight")
 
 
-def cosine_pairs(vectors: DataFrame, threshold: float, ident: str = "id", eps: float = 1e-9) -> DataFrame:
+#: Terms of vectors in a block: some 15 MB.
+BLOCK_TERMS = 1_250_000
+
+
+class _Block:
+    """Vectors as arrays: ids, n (copies), lengths, and the rows' terms (rarest first) and weights one after another."""
+
+    def __init__(self, rows: pa.StructScalar):
+        v = rows.values
+        t, w = v.field("terms"), v.field("weights")
+        self.ids, self.n = v.field("id"), v.field("n").to_numpy()
+        self.size = np.diff(t.offsets.to_numpy())
+        self.start = np.cumsum(self.size) - self.size
+        self.term, self.weight = t.flatten().to_numpy(), w.flatten().to_numpy()
+        self.row = np.repeat(np.arange(len(self.size)), self.size)
+        # norm of what stands from a term on to the row's end
+        up = np.cumsum(self.weight**2)
+        before = np.concatenate([[0.0], up])[self.start]
+        total = np.concatenate([[0.0], up])[self.start + self.size] - before
+        self.rest = np.sqrt(np.maximum(np.repeat(total + before, self.size) - up + self.weight**2, 0))
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every range, one after another."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
+def _similar(a: _Block, b: _Block, same: bool, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, sim) of the rows of a and b with a dot product of `least` or more; of one block (same) every pair once."""
+    known = np.unique(b.term)
+    at = np.minimum(np.searchsorted(known, a.term), len(known) - 1)
+    both, bt = known[at] == a.term, np.searchsorted(known, b.term)
+    # a pair's rarest shared term bounds its product by both rests from there: postings by term and falling rest, as far as that reaches
+    reach = least - 1e-6
+    posted = np.flatnonzero(b.rest >= reach)
+    posted = posted[np.lexsort((-b.rest[posted], bt[posted]))]
+    key = bt[posted] * 4.0 - b.rest[posted]
+    asked = np.flatnonzero(both & (a.rest >= reach))
+    lo = np.searchsorted(key, at[asked] * 4.0 - 2)
+    hits = np.searchsorted(key, at[asked] * 4.0 - reach / a.rest[asked], "right") - lo
+    lo, asked = lo[hits > 0], asked[hits > 0]
+    hits = hits[hits > 0]
+    rows, posted_row = a.row[asked], b.row[posted]
+    step = max(1, min(64, 2_000_000 // len(known)))
+    table = np.zeros(step * len(known))
+    done, up = 0, np.cumsum(hits)
+    while done < len(rows):  # some rows of a at a time, whole rows only
+        end = np.searchsorted(rows, rows[done] + step)
+        end = min(end, max(np.searchsorted(up, (up[done - 1] if done else 0) + 2_000_000), done + 1))
+        end = np.searchsorted(rows, rows[end - 1], "right")
+        base, here = rows[done], slice(done, end)
+        pair = np.unique(np.repeat(rows[here] - base, hits[here]) * len(b.size) + posted_row[_ranges(lo[here], hits[here])])
+        done = end
+        i, j = np.divmod(pair, len(b.size))
+        if same:
+            i, j = i[j > i + base], j[j > i + base]
+        if not len(i):
+            continue
+        last = rows[end - 1]
+        mine = slice(a.start[base], a.start[last] + a.size[last])
+        cell = ((a.row[mine] - base) * len(known) + at[mine])[both[mine]]
+        table[cell] = a.weight[mine][both[mine]]
+        for k in range(0, len(i), 200_000):
+            x, y = i[k : k + 200_000], j[k : k + 200_000]
+            flat = _ranges(b.start[y], b.size[y])
+            sim = np.add.reduceat(table[np.repeat(x * len(known), b.size[y]) + bt[flat]] * b.weight[flat], np.cumsum(b.size[y]) - b.size[y])
+            yes = sim >= least
+            yield x[yes] + base, y[yes], sim[yes]
+        table[cell] = 0
+
+
+def _met(packed: DataFrame, n_terms: int, block_terms: int) -> DataFrame:
+    """(i, j, rows, others): every two blocks of the vectors (id, n, terms, weights), i <= j, a pair of blocks a partition."""
+    n_blocks = max(1, ceil(n_terms / block_terms))
+    placed = packed.select(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("i"), F.struct("id", "n", "terms", "weights").alias("r")).repartitionById(n_blocks, "i")
+    blocks = cut(placed.groupBy("i").agg(F.collect_list("r").alias("rows")))
+    return blocks.hint("shuffle_replicate_nl").join(blocks.select(F.col("i").alias("j"), F.col("rows").alias("others")), F.expr("i <= j")).select("i", "j", "rows", "others")
+
+
+def _packed(terms: DataFrame, ranks: DataFrame, weight: Column) -> DataFrame:
+    """(id, terms, weights) of (id, term...) with the terms' numbers of ranks (term, no, ...), ascending."""
+    t = terms.join(broadcast_if_small(ranks), "term").groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.col("no").cast("int").alias("no"), weight.alias("w")))).alias("t"))
+    return t.select("id", F.col("t.no").alias("terms"), F.col("t.w").alias("weights"))
+
+
+def cosine_pairs(vectors: DataFrame, threshold: float, ident: str = "id", eps: float = 1e-9, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(a, b, sim), a < b: all pairs of L2-normalised vectors with cosine of `threshold` or more, exactly.
 
-    Equal vectors form a class first and are joined through its least member's row, so copies never meet pair by pair; the pairs
-    that come out are between class representatives. Candidates meet on prefix terms only (Bayardo et al., 2007): with the terms in
-    one global order, rarest first, a pair can reach the threshold only if it shares a term of both prefixes, so that frequent
-    terms are hardly ever joined on.
+    Candidates meet on prefix terms only (Bayardo et al., 2007): with the terms in one global order, rarest first, a pair can reach
+    the threshold only if the norms from its rarest shared term on have a product of the threshold or more, so that frequent terms
+    are hardly ever looked up. Blocks of vectors meet block by block and candidates are held against the threshold where they are
+    found, so none is stored.
     """
     v = vectors.select(F.col(ident).alias("id"), "term", "weight")
     freq = v.groupBy("term").agg(F.count("*").alias("df"))
-    w = Window.partitionBy("id").orderBy(F.desc("df"), F.desc("term")).rowsBetween(Window.unboundedPreceding, -1)
-    # the sum of squares of a vector's more frequent terms: a row belongs to the prefix while what follows, with it, can reach t
-    tail = F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(w), F.lit(0.0))
-    ranked = cut(v.join(freq, "term").withColumn("rest", tail + F.col("weight") * F.col("weight")))
-    prefix = ranked.filter(F.sqrt("rest") >= threshold - eps).select("id", "term")
-    pairs = prefix.select(F.col("id").alias("a"), "term").join(prefix.select(F.col("id").alias("b"), "term"), "term").filter("a < b").select("a", "b").distinct()
-    sims = pairs.join(ranked.select(F.col("id").alias("a"), "term", F.col("weight").alias("wa")), "a").join(ranked.select(F.col("id").alias("b"), "term", F.col("weight").alias("wb")), ["b", "term"])
-    return sims.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")).filter(F.col("sim") >= threshold - eps)
+    ranks = cut(numbered(freq, [F.col("df"), F.col("term")], "no"))
+    n_terms = ranks.agg(F.sum("df")).collect()[0][0] or 0
+    least, kind = threshold - eps, dict(v.dtypes)["id"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for m in batches:
+            for i, j, x, y in zip(m.column("i"), m.column("j"), m.column("rows"), m.column("others"), strict=True):
+                a, b = _Block(x), _Block(y)
+                for p, q, sim in _similar(a, b, i == j, least):
+                    yield pa.RecordBatch.from_arrays([a.ids.take(pa.array(p)), b.ids.take(pa.array(q)), pa.array(sim)], ["p", "q", "sim"])
+
+    met = _met(_packed(v, ranks.select("term", "no"), F.col("weight")).withColumn("n", F.lit(1).cast("bigint")), n_terms, block_terms)
+    return met.mapInArrow(compare, f"p {kind}, q {kind}, sim double").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), "sim")
 
 
 def text_classes(docs: DataFrame, text: str = "text", ident: str = "id") -> DataFrame:
@@ -66,16 +162,39 @@ def text_classes(docs: DataFrame, text: str = "text", ident: str = "id") -> Data
     return w.join(c, ["h1", "h2"]).select("id", "rep", "n_copies")
 
 
-def linked(docs: DataFrame, threshold: float, text: str = "text", ident: str = "id", **how) -> DataFrame:
-    """(id, rep, n_links): each document's class and the number of other documents within the threshold, copies counted."""
-    classes = cut(text_classes(docs, text, ident))
-    vectors = tfidf(docs.select(F.col(ident).alias("id"), text), ["id"], text, **how)
-    pairs = cosine_pairs(vectors.join(classes.filter("id = rep").select("id"), "id", "left_semi"), threshold)
-    size = classes.filter("id = rep").select("rep", "n_copies")
-    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    n = both.join(size.withColumnRenamed("rep", "b"), "b").groupBy("a").agg(F.sum("n_copies").alias("n"))
-    full = vectors.select("id").distinct().withColumn("has", F.lit(True))
-    return classes.join(n, classes["rep"] == n["a"], "left").join(full, "id", "left").select("id", "rep", (F.coalesce("n", F.lit(0)) + F.when(F.col("has"), F.col("n_copies") - 1).otherwise(0)).alias("n_links"))
+def linked(docs: DataFrame, threshold: float, text: str = "text", ident: str = "id", min_df: int = 2, bigrams: bool = True, stop: tuple[str, ...] = STOP_WORDS, block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """(id, rep, n_links): each document's class and the number of other documents within the threshold, copies counted.
+
+    Weights are tfidf()'s. Copies never meet pair by pair: a class is joined through its least member, links counted where they are
+    found, as in cosine_pairs. Documents are shuffled by id as texts; only counts of terms leave a document before its vector is made.
+    """
+    docs = cut(docs.select(F.col(ident).alias("id"), F.col(text).alias("text")))
+    classes = cut(text_classes(docs))
+    tf = lambda d: d.repartition("id").select("id", F.explode(terms(F.col("text"), bigrams, stop)).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
+    df = cut(tf(docs).groupBy("term").agg(F.count("*").alias("df")))
+    top, n = df.agg(F.max("df")).collect()[0][0] or 0, docs.count()
+    ranks = cut(numbered(df.filter(F.col("df") >= (1 if top < min_df else min_df)), [F.col("df"), F.col("term")], "no"))
+    reps = classes.filter("id = rep").select("id", F.col("n_copies").alias("n"))
+    raw = _packed(tf(docs.join(reps, "id", "left_semi")), ranks, (1 + F.log("tf")) * (1 + F.log((1 + F.lit(n)) / (1 + F.col("df")))))
+    unit = raw.withColumn("norm", F.sqrt(F.aggregate("weights", F.lit(0.0), lambda s, x: s + x * x)))
+    packed = unit.join(reps, "id").select("id", "n", "terms", F.transform("weights", lambda x: x / F.col("norm")).alias("weights"))
+    least = threshold - 1e-9
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for m in batches:
+            for i, j, x, y in zip(m.column("i"), m.column("j"), m.column("rows"), m.column("others"), strict=True):
+                a, b = _Block(x), _Block(y)
+                of_a, of_b = np.zeros(len(a.n), np.int64), np.zeros(len(b.n), np.int64)
+                for p, q, _ in _similar(a, b, i == j, least):
+                    np.add.at(of_a, p, b.n[q])
+                    np.add.at(of_b, q, a.n[p])
+                yield pa.RecordBatch.from_arrays([a.ids, pa.array(of_a)], ["rep", "n"])
+                yield pa.RecordBatch.from_arrays([b.ids, pa.array(of_b)], ["rep", "n"])
+
+    kind = dict(docs.dtypes)["id"]
+    links = _met(packed, ranks.agg(F.sum("df")).collect()[0][0] or 0, block_terms).mapInArrow(count, f"rep {kind}, n bigint").groupBy("rep").agg(F.sum("n").alias("n"))
+    # a class without a row here has no vector, so its copies have none
+    return classes.join(links, "rep", "left").select("id", "rep", F.coalesce(F.col("n") + F.col("n_copies") - 1, F.lit(0)).alias("n_links"))
 
 
 def project(old: DataFrame, vocabulary: DataFrame, by: str) -> DataFrame:

@@ -248,6 +248,45 @@ def test_tfidf_unit_length_and_pairs(spark):
     assert V.tfidf(d.limit(0), ["id"]).count() == 0
 
 
+@pytest.mark.parametrize("block_terms", [V.BLOCK_TERMS, 150])
+def test_links_against_brute_force(spark, block_terms):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["wants", "to", "pause", "price", "list", "weekend", "breaks", f"maker{rng.randrange(9)}"]) for _ in range(rng.randrange(9))) for _ in range(90)]
+    texts += texts[:12] + [None, "the and of", "single words here"]
+    d = cut(spark.createDataFrame([(f"k{i:03d}", t) for i, t in enumerate(texts)], "id string, text string"))
+    vec: dict = {}
+    for r in V.tfidf(d, ["id"]).collect():
+        vec.setdefault(r["id"], {})[r["term"]] = r["weight"]
+    dot = lambda a, b: sum(w * vec[b].get(t, 0.0) for t, w in vec[a].items())
+    brute = {(a, b): dot(a, b) for a in vec for b in vec if a < b and dot(a, b) >= 0.6 - 1e-9}
+    got = {(r["a"], r["b"]): r["sim"] for r in V.cosine_pairs(V.tfidf(d, ["id"]), 0.6, block_terms=block_terms).collect()}
+    assert got.keys() == brute.keys() and all(abs(got[p] - s) < 1e-9 for p, s in brute.items())
+    n_links = {(r["id"]): (r["rep"], r["n_links"]) for r in V.linked(d, 0.6, block_terms=block_terms).collect()}
+    ids = [f"k{i:03d}" for i in range(len(texts))]
+    assert n_links == {k: (ids[texts.index(t)], sum(k in p for p in brute)) for k, t in zip(ids, texts, strict=True)}
+    assert V.linked(d.limit(0), 0.6).count() == 0
+
+
+def test_candidates_of_links_are_not_stored(spark, tmp_path):
+    """Titles of few templates: most candidates fall below the threshold, and their number grows with the square of the titles."""
+    import pandas as pd
+
+    rng = random.Random(4)
+    words = [[f"{c}{i}x" for i in range(30)] for c in "abcdef"]
+    pd.DataFrame({"id": range(6000), "text": [" ".join(rng.choice(w) for w in words) for _ in range(6000)]}).to_parquet(tmp_path / "d.parquet")
+    d = cut(spark.read.parquet(str(tmp_path / "d.parquet")))
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return sum(store.executorList(False).apply(i).totalShuffleWrite() for i in range(store.executorList(False).size()))
+
+    before = written()
+    V.linked(d, 0.7, bigrams=False).collect()
+    assert 0 < written() - before < 5_000_000  # 2.4 million pairs share a term of their prefixes
+
+
+
 def test_bm25_against_loop(spark):
     docs, query = ["a b b c", "b c d", "d d e", "a"], "b d d zz"
     got = {r["id"]: r["score"] for r in R.bm25(spark.createDataFrame(list(enumerate(docs)), "id int, text string"), spark.createDataFrame([(1, query)], "query_id int, text string")).collect()}
